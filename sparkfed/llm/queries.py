@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import simhash, toxicity
 from .common import table
 
 
@@ -16,6 +16,24 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def crc_mod(col: str, n: int) -> Column:
+    """crc32 of the id as text, modulo n; null for a null id."""
+    return F.crc32(F.col(col).cast("string")) % n
+
+
+def op9_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), usable=crc_mod("doc_id", 5) != 0)
+    s = F.col("toxic_score")
+    return toxicity.score(docs, model, spans=True).select(
+        "doc_id",
+        F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
+        s.alias("score"),
+        (s >= 0.5).cast("int").alias("predicted"),
+        F.col("toxic_spans").alias("spans"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op")}
 
