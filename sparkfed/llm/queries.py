@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash, toxicity
+from . import licenses, simhash, toxicity
 from .common import table
 
 
@@ -34,6 +34,22 @@ def op9_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    at = F.flatten("phrase_places")
+    base = F.array_compact(F.array(*(F.when(F.size(F.col("phrase_places")[i]) > 0, F.lit(x)) for i, x in enumerate(licenses.PHRASES.values()))))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(at).cast("long").alias("n_base"),
+        F.array_min(at).cast("long").alias("first_word"),
+        F.array_max(at).cast("long").alias("last_word"),
+        F.array_join(F.array_sort(base), ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op")}
 
