@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, simhash, toxicity
+from . import licenses, quality, simhash, toxicity
 from .common import table
 
 
@@ -21,6 +21,11 @@ def crc_mod(col: str, n: int) -> Column:
     return F.crc32(F.col(col).cast("string")) % n
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.judged(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "d2")
+
+
 def op9_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), usable=crc_mod("doc_id", 5) != 0)
