@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, quality, simhash, toxicity
+from . import bpe, licenses, packing, quality, simhash, toxicity
 from .common import table
 
 
@@ -21,6 +21,29 @@ def crc_mod(col: str, n: int) -> Column:
     return F.crc32(F.col(col).cast("string")) % n
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), capacity=1024, end_id=2)
+
+
+def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    how = (vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), *how).drop("text")
+    return bpe.decode(ids, *how).select(
+        "doc_id",
+        F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.judged(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "d2")
