@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, licenses, packing, quality, simhash, toxicity
+from . import bpe, licenses, line_dedup, packing, quality, simhash, toxicity
 from .common import table
 
 
@@ -31,6 +31,12 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), capacity=1024, end_id=2)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = F.array_join(F.transform("kept", lambda x: x.cast("string")), ",")
+    return found.select("doc_id", "n_lines", F.size("kept").cast("long").alias("n_kept"), kept.alias("kept_lines"))
+
+
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -82,4 +88,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op")}
 
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op5_line_dedup": r"""
+WITH split AS (SELECT doc_id, generate_subscripts(s, 1) - 1 AS pos, unnest(s) AS line FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents)),
+l AS (SELECT doc_id, pos, list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM split WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+d AS (SELECT w, array_to_string(w, ' ') AS s, len(w) AS n, min({'d': doc_id, 'p': pos}) AS pl FROM l GROUP BY w),
+v AS (SELECT pl, n - 1 AS m, i, array_to_string(list_concat(w[:i - 1], w[i + 1:]), ' ') AS s FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM d WHERE n >= 8)),
+gone AS (
+  SELECT v.pl FROM v JOIN (SELECT s, m, i, min(pl) AS low FROM v GROUP BY s, m, i) g ON v.s = g.s AND v.m = g.m AND v.i = g.i AND v.pl > g.low
+  UNION SELECT v.pl FROM v JOIN d ON v.s = d.s AND v.m = d.n AND d.n >= 8 AND v.pl > d.pl
+  UNION SELECT d.pl FROM v JOIN d ON v.s = d.s AND v.m = d.n AND d.n >= 8 AND d.pl > v.pl),
+k AS (SELECT pl.d AS doc_id, string_agg(pl.p::VARCHAR, ',' ORDER BY pl.p) AS kept_lines, count(*) AS n FROM d WHERE pl NOT IN (SELECT pl FROM gone) GROUP BY 1),
+c AS (SELECT doc_id, count(*) AS n FROM l GROUP BY 1)
+SELECT documents.doc_id, coalesce(c.n, 0)::BIGINT AS n_lines, coalesce(k.n, 0)::BIGINT AS n_kept, coalesce(k.kept_lines, '') AS kept_lines
+FROM documents LEFT JOIN c ON documents.doc_id = c.doc_id LEFT JOIN k ON documents.doc_id = k.doc_id
+""",
+}
