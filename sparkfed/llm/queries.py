@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, licenses, line_dedup, packing, quality, simhash, toxicity
+from . import ann_forest, bpe, licenses, line_dedup, packing, quality, simhash, toxicity
 from .common import table
 
 
@@ -21,6 +21,11 @@ def crc_mod(col: str, n: int) -> Column:
     return F.crc32(F.col(col).cast("string")) % n
 
 
+def op3_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ann_forest.nearest(table(spark, sf_dir, "embeddings"), "id % 100 = 0", k=10)
+    return found.select(F.col("query_id").cast("long").alias("query_id"), "rank", F.col("vec_id").cast("long").alias("vec_id"), "score")
+
+
 def vocabulary(name: str) -> str:
     import public_tokenizers
 
