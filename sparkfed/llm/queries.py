@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann_forest, bpe, licenses, line_dedup, packing, quality, simhash, toxicity
+from . import ann_forest, bpe, brown, licenses, line_dedup, packing, quality, simhash, toxicity
 from .common import table
 
 
+def op1_brown_class_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(crc_mod("doc_id", 10) == 0, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", held_out.alias("held_out"), "text")
+    model = brown.train(docs.where("not held_out"))
+    found = brown.score(docs, model)
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_groups(table(spark, sf_dir, "documents"), shingle=4, radius=4)
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
