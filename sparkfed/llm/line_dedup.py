@@ -142,9 +142,8 @@ def rewrite(docs: DataFrame) -> DataFrame:
     on = rows["doc_id"].eqNullSafe(kept["_id"]) & (F.xxhash64("_text") == kept["_th"])
     rows = rows.join(kept, on, "left")
     split = F.split("_text", "\n", -1)
-    stays = F.filter(F.arrays_zip(split.alias("line"), F.col("_flags").alias("flag")), lambda x: x["flag"] | ~x["line"].rlike(r"[^\x20\x09-\x0D]"))
-    flags = F.transform(F.sequence(F.lit(0), F.size(split) - 1), lambda i: F.array_contains(F.coalesce("_kept", F.array().cast("array<int>")), i))
-    rows = rows.withColumn("_flags", flags)
-    new = F.array_join(F.transform(stays, lambda x: x["line"]), "\n")
+    blank = F.filter(F.sequence(F.lit(0), F.size(split) - 1), lambda i: ~F.get(F.col("_lines"), i).rlike(r"[^\x20\x09-\x0D]"))
+    rows = rows.withColumn("_lines", split).withColumn("_stay", F.array_sort(F.concat(F.coalesce("_kept", F.array().cast("array<int>")), blank)))
+    new = F.array_join(F.transform("_stay", lambda i: F.get(F.col("_lines"), i)), "\n")
     kind = docs.schema["text"].dataType
-    return rows.withColumn("text", F.when(F.length("_text") > 0, new).otherwise(F.col("_text")).cast(kind)).select(*docs.columns)
+    return rows.withColumn("text", new.cast(kind)).select(*docs.columns)
