@@ -1,7 +1,7 @@
 """License scans with ordered signature rules, in DataFrame functions alone; rows are scanned in place, nothing is shuffled.
 
 Rules (license_rules.txt) are hand-written regular expressions over the text's words, joined by single spaces. A rule
-is tried only where its keyword occurs, and rules at all only where one of all keywords does. Detections are intervals
+is tried only where its keyword occurs at a word's start, and rules at all only where one of all keywords does. Detections are intervals
 of characters. In order of start, longest and then earliest rule first, a detection inside a kept one is dropped, and
 so is one that overlaps a kept detection of an earlier rule.
 """
@@ -29,11 +29,18 @@ def rules() -> list[tuple[str, float, str, str]]:
     return [(label, float(s), keyword, rf"(?<= )(?:{pattern})(?= )") for label, s, keyword, pattern in split]
 
 
-def keyword_test(words: Column) -> Column:
-    """Whether any keyword or phrase occurs; words: joined by single spaces."""
-    keys = sorted({k for _, _, k, _ in rules()} | set(PHRASES))
-    shortest = [k for k in keys if not any(o != k and o in k for o in keys)]
-    return words.rlike("|".join(shortest))
+def any_of(words: list[str]) -> str:
+    """A regular expression for any of the words, with common beginnings shared: few alternatives are tried at a place."""
+    short = [w for w in sorted(set(words)) if not any(w != o and w.startswith(o) for o in words)]
+    heads: dict[str, list[str]] = {}
+    for w in short:
+        heads.setdefault(w[0], []).append(w[1:])
+    parts = [h + (any_of(rest) if len(rest) > 1 else rest[0]) for h, rest in heads.items()]
+    return parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})"
+
+
+def keywords() -> list[str]:
+    return sorted({k for _, _, k, _ in rules()} | set(PHRASES))
 
 
 def spans(words: Column, rule: Column) -> Column:
@@ -54,7 +61,7 @@ def spans(words: Column, rule: Column) -> Column:
 def detections(words: Column) -> Column:
     """All matches of rules whose keyword occurs, in order of start, longest first, then earliest rule."""
     every = [
-        F.struct(F.lit(i).alias("rank"), F.lit(label).alias("label"), F.lit(s).alias("strength"), F.lit(k).alias("keyword"), F.lit(p).alias("pattern"))
+        F.struct(F.lit(i).alias("rank"), F.lit(label).alias("label"), F.lit(s).alias("strength"), F.lit(" " + k).alias("keyword"), F.lit(p).alias("pattern"))
         for i, (label, s, k, p) in enumerate(rules())
     ]
     tried = F.filter(F.array(*every), lambda r: F.contains(words, r["keyword"]))
@@ -93,14 +100,13 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     docs = docs.select(*(c for c in docs.columns if c not in added))
     raw = F.coalesce(F.col(text_col), F.lit(""))
     df = docs.withColumn("n_words", F.regexp_count(raw, F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")).cast("long"))
-    # Keywords have spaces where the text may have other signs: a first, loose test spares most texts the joining of words.
-    loose = sorted({max(k.split(), key=len) for _, _, k, _ in rules()} | {max(p.split(), key=len) for p in PHRASES})
-    loose = [k for k in loose if not any(o != k and o in k for o in loose)]
+    # A first, loose test for the longest word of any keyword, at a word's start, spares most texts the joining of words.
+    loose = "(?i)(?:^|[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F])" + any_of([max(k.split(), key=len) for k in keywords()])
     lowered = F.translate(raw, UPPER, LOWER)
     joined = F.concat(F.lit(" "), F.regexp_replace(lowered, GAP, " "), F.lit(" "))
     joined = F.regexp_replace(joined, "^ +| +$", " ")
-    df = df.withColumn("_words", F.when(raw.rlike("(?i)" + "|".join(loose)), joined))
-    df = df.withColumn("_words", F.when(keyword_test(F.col("_words")), F.col("_words")))
+    df = df.withColumn("_words", F.when(raw.rlike(loose), joined))
+    df = df.withColumn("_words", F.when(F.col("_words").rlike(" " + any_of(keywords())), F.col("_words")))
     words = F.col("_words")
     nothing = F.array().cast("array<int>")
     df = df.withColumn("phrase_places", F.array(*(F.when(words.isNotNull(), places(words, p)).otherwise(nothing) for p in PHRASES)))
