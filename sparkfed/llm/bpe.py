@@ -15,10 +15,11 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value, worker_cache
+from .common import Generations, by_value, worker_cache
 
 LEAF = 16
-CACHED = 400_000
+#: Units and matches that a worker remembers, twice over, and pairs of tokens.
+UNITS, MATCHES, CACHED = 200_000, 150_000, 400_000
 #: Unicode's White_Space, as regular expressions of tokenizers' libraries have it.
 WHITE = "\t-\r \x85\xa0  -     　"
 
@@ -33,14 +34,19 @@ def units(text: str) -> list[str]:
     return [x for x in re.split(r"(?<!\s)(?= )|(?= \S)", text) if x]
 
 
+def finder(pattern: str):
+    """A function that lists a text's matches, with white space as tokenizers' libraries have it."""
+    import regex
+
+    fixed = pattern.replace(r"[^\s", f"[^{WHITE}").replace(r"\s", f"[{WHITE}]").replace(r"\S", f"[^{WHITE}]")
+    return regex.compile(fixed).findall
+
+
 class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        import regex
-
         self.ranks, self.token = ranks, {i: t for t, i in ranks.items()}
-        fixed = pattern.replace(r"[^\s", f"[^{WHITE}").replace(r"\s", f"[{WHITE}]").replace(r"\S", f"[^{WHITE}]")
-        self.find = regex.compile(fixed).findall
-        self.cache: dict[str, bytes] = {}
+        self.find = finder(pattern)
+        self.cache, self.of_match = Generations(UNITS), Generations(MATCHES)
         self.fits: dict[tuple[int, int], bool] = {}
 
     def merge(self, piece: bytes) -> list[int]:
@@ -106,15 +112,14 @@ class Codec:
         """The ids of a text as little-endian unsigned 32-bit integers."""
         import struct
 
-        cache = self.cache
-        if len(cache) > CACHED:
-            cache.clear()
         parts = units(text)
-        for u in set(parts):
-            if u not in cache:
-                ids = [i for m in self.find(u) for i in self.match(m.encode("utf-8", "surrogatepass"))]
-                cache[u] = struct.pack(f"<{len(ids)}I", *ids)
-        return b"".join(map(cache.__getitem__, parts))
+        for u in self.cache.lacks(set(parts)):
+            matches = self.find(u)
+            for m in self.of_match.lacks(set(matches)):
+                ids = self.match(m.encode("utf-8", "surrogatepass"))
+                self.of_match[m] = struct.pack(f"<{len(ids)}I", *ids)
+            self.cache[u] = b"".join(map(self.of_match.__getitem__, matches))
+        return b"".join(map(self.cache.__getitem__, parts))
 
     def decode(self, ids: bytes) -> bytes:
         import numpy as np

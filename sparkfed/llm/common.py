@@ -29,6 +29,26 @@ def worker_cache(name: str) -> dict:
     return mod.__dict__.setdefault(name, {})
 
 
+class Generations(dict):
+    """A cache of bounded size: what is asked for moves to the young half, and the old half is dropped when that is full."""
+
+    def __init__(self, half: int):
+        super().__init__()
+        self.half, self.old = half, {}
+
+    def __missing__(self, key: object) -> object:
+        v = self[key] = self.old[key]
+        return v
+
+    def lacks(self, keys: set) -> list:
+        """The keys that neither half holds; before that, makes room."""
+        if len(self) > self.half:
+            self.old = dict(self)
+            self.clear()
+        old = self.old
+        return [k for k in keys if k not in self and k not in old]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
