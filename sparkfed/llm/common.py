@@ -21,12 +21,28 @@ def by_value(name: str) -> None:
 
 
 def worker_cache(name: str) -> dict:
-    """A dict that lives as long as the Python worker does, whatever task runs in it."""
+    """A dict that lives as long as the Python worker does, whatever task runs in it; other operators' are emptied."""
     import sys
     import types
 
-    mod = sys.modules.setdefault("_sparkfed_worker_cache", types.ModuleType("_sparkfed_worker_cache"))
-    return mod.__dict__.setdefault(name, {})
+    kept = sys.modules.setdefault("_sparkfed_worker_cache", types.ModuleType("_sparkfed_worker_cache")).__dict__
+    for k, v in kept.items():
+        if k != name and isinstance(v, dict) and not k.startswith("__"):
+            v.clear()
+    return kept.setdefault(name, {})
+
+
+def give_back() -> None:
+    """Returns freed memory to the system: large arrays of one chunk would else stay with the worker."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
 
 
 class Generations(dict):

@@ -29,12 +29,12 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value, materialise
+from .common import by_value, give_back, materialise, worker_cache
 
-LENGTH, Q, CHUNK = 100, 32, 4_000_000
+LENGTH, Q, CHUNK = 100, 32, 800_000
 BASE = 0x9E3779B97F4A7C15 | 1
 #: Bytes of text for which there is one bucket of anchors.
-BUCKET = 24_000_000
+BUCKET = 8_000_000
 MIX = 0xD6E8FEB86659FD93
 
 
@@ -43,8 +43,9 @@ def mixed(x):
     import numpy as np
 
     x = x ^ (x >> np.uint64(32))
-    x = x * np.uint64(MIX)
-    return x ^ (x >> np.uint64(29))
+    x *= np.uint64(MIX)
+    x ^= x >> np.uint64(29)
+    return x
 
 
 def prefix_hashes(data):
@@ -296,7 +297,9 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
 
     def anchors(batches: Iterator) -> Iterator:
         for b in batches:
+            worker_cache("suffix")
             for row in b.to_dict("records"):
+                give_back()
                 s, ends = open_chunk(row, most)
                 key = np.unique(runs(s, ends, length, q)[0])
                 to = deal(key)
@@ -324,7 +327,9 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
 
         zip_ = zstandard.ZstdCompressor(level=1).compress
         for b in batches:
+            worker_cache("suffix")
             for row in b.to_dict("records"):
+                give_back()
                 s, ends = open_chunk(row, most)
                 key, anchor, first, last = runs(s, ends, length, q)
                 far = np.concatenate([np.frombuffer(x, np.uint64) for x in row["keys"]]) if row["keys"] is not None else key[:0]
@@ -358,6 +363,7 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     def meet(group: pd.DataFrame) -> pd.DataFrame:
         import zstandard
 
+        give_back()
         unzip = zstandard.ZstdDecompressor().decompress
         metas = [np.frombuffer(unzip(x), np.int64).reshape(-1, 6) for x in group["meta"]]
         data = np.frombuffer(b"".join(unzip(x) for x in group["bytes"]), np.uint8)
@@ -394,6 +400,7 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
         pairs = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for b in batches:
             for row in b.to_pylist():
+                give_back()
                 text = np.frombuffer(unzip(row["text"]), np.uint8)
                 sizes = np.frombuffer(row["sizes"], np.int64)
                 ends = np.cumsum(sizes)
