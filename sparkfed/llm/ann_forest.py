@@ -60,13 +60,14 @@ class Forest:
             out |= sides[:, bit :: BITS].astype(np.int64) << (BITS - 1 - bit)
         return out
 
-    def candidates(self, queries, share: float):
-        """For each query the entries that the forest matches at the longest prefix length at which they are enough."""
+    def candidates(self, queries, share: float, least: int):
+        """For each query the entries that the forest matches at the longest prefix length at which they are enough: the
+        share of all entries, and `least` entries."""
         import numpy as np
 
         own = self.strings(queries)
         n, found = len(self.x), np.zeros((len(queries), len(self.x)), bool)
-        want = min(n, max(1, int(np.ceil(share * n))))
+        want = min(n, max(least, int(np.ceil(share * n))))
         open_ = np.arange(len(queries))
         for length in range(BITS, -1, -1):  # synchronous ascent
             low = own[open_] >> (BITS - length) << (BITS - length)
@@ -131,7 +132,7 @@ def nearest(
                     part = g.iloc[i : i + 512]
                     q = np.stack(part["v"].to_numpy()).astype(np.float64)
                     query, out, score = [], [], []
-                    for rep, x, hits in zip(part["rep"].tolist(), q, forest.candidates(q, share)):
+                    for rep, x, hits in zip(part["rep"].tolist(), q, forest.candidates(q, share, k + 1)):
                         at = np.nonzero(hits)[0]
                         d = np.sqrt(((forest.x[at] - x) ** 2).sum(axis=1))
                         near = sorted((far, m) for j in np.nonzero(d <= np.partition(d, min(k, len(d) - 1))[min(k, len(d) - 1)])[0].tolist() for far, m in ((float(d[j]), m) for m in ids[at[j]]))

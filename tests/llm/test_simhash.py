@@ -27,7 +27,7 @@ def low_ids(pairs):
     low = {}
     for i, fp in pairs:
         if i is not None:
-            low[top(fp)] = min(low.get(top(fp), 10**9), i)
+            low[top(fp)] = min(low.get(top(fp), i), i)
     return [(i, fp, low.get(top(fp))) for i, fp in pairs]
 
 
