@@ -16,10 +16,10 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import units
-from .common import by_value, materialise, rows_per, worker_cache
+from .common import by_value, materialise, worker_cache
 
-CACHED = 400_000
+#: How a byte-level tokenizer cuts a text before it merges: a fixed value.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SALT_ROWS = 20_000
 
 
@@ -142,36 +142,49 @@ def places(patterns: list[tuple[tuple[int, ...], int]]) -> dict[int, tuple[list[
     return dict(out)
 
 
-def tokenizer(path: str):
-    """The worker's tokenizer and its cache of units."""
+def byte_ranks(path: str) -> dict[bytes, int] | None:
+    """The ids of a tokenizer file's tokens by their bytes, if it is byte-level BPE whose merges are in the order of ids
+    and which does no more; else None. Such a file says the same to any byte-pair encoder."""
+    import json
+
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model, cut = spec["model"], spec.get("pre_tokenizer") or {}
+    plain = model.get("type") == "BPE" and not spec.get("normalizer") and cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True)
+    if not plain or model.get("byte_fallback") or model.get("ignore_merges") or model.get("dropout"):
+        return None
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letter = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
+    special = {t["content"] for t in spec.get("added_tokens", ())}
+    ranks = {bytes(letter[c] for c in t): i for t, i in model["vocab"].items() if t not in special}
+    merged = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    return ranks if merged == sorted(merged) and len(ranks) == 256 + len(set(merged)) else None
+
+
+def encoder(path: str):
+    """The worker's function from a text to its ids as little-endian unsigned 32-bit integers, special tokens' strings
+    being ordinary text: the tokenizers library's ids, by a faster encoder where the file allows that."""
     kept = worker_cache("packing")
     if path not in kept:
         import os
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        import numpy as np
 
-        t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True  # their strings in a text are ordinary text
         kept.clear()
-        kept[path] = (t, {})
-    return kept[path]
-
+        ranks = byte_ranks(path)
+        if ranks is not None:
+            import tiktoken
 
-def encode_batch(texts: list[str], path: str) -> list[bytes]:
-    """Each text's ids as little-endian unsigned 32-bit integers; units that start a match in any context are cached."""
-    import numpy as np
+            coder = tiktoken.Encoding("file", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
+            kept[path] = lambda text: coder.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
+        else:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            from tokenizers import Tokenizer
 
-    t, cache = tokenizer(path)
-    if len(cache) > CACHED:
-        cache.clear()
-    parts = [units(x) for x in texts]
-    new = list({u for p in parts for u in p if u not in cache})
-    for i in range(0, len(new), 5000):
-        some = new[i : i + 5000]
-        for u, e in zip(some, t.encode_batch_fast(some, add_special_tokens=False)):
-            cache[u] = np.array(e.ids, "<u4").tobytes()
-    return [b"".join(map(cache.__getitem__, p)) for p in parts]
+            t = Tokenizer.from_file(path)
+            t.encode_special_tokens = True
+            kept[path] = lambda text: np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    return kept[path]
 
 
 def pieces(docs: DataFrame, path: str, capacity: int, end_id: int) -> DataFrame:
@@ -183,13 +196,13 @@ def pieces(docs: DataFrame, path: str, capacity: int, end_id: int) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import zlib
 
-        end = end_id.to_bytes(4, "little")
+        encode, end = encoder(path), end_id.to_bytes(4, "little")
         for b in batches:
             for at in range(0, len(b), 500):
                 rows = []
                 part = b.iloc[at : at + 500]
-                for i, (doc, ids) in enumerate(zip(part["doc_id"], encode_batch([x or "" for x in part["text"]], path))):
-                    ids += end
+                for i, text in enumerate(part["text"]):
+                    ids = encode(text or "") + end
                     total = len(ids) // 4
                     cuts = [0, *range(total % capacity or capacity, total + 1, capacity)]
                     rows += [(i, k, x, y - x, zlib.crc32(ids[4 * x : 4 * y])) for k, (x, y) in enumerate(zip(cuts, cuts[1:]))]
