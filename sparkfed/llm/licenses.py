@@ -18,6 +18,8 @@ PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What separates words in a text whose A-Z are lower case already.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: A column of intermediate results.
+WORDS = "__sparkfed_words"
 #: The strength of a phrase.
 PHRASE_SCORE = 0.8
 
@@ -105,9 +107,9 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     lowered = F.translate(raw, UPPER, LOWER)
     joined = F.concat(F.lit(" "), F.regexp_replace(lowered, GAP, " "), F.lit(" "))
     joined = F.regexp_replace(joined, "^ +| +$", " ")
-    df = df.withColumn("_words", F.when(raw.rlike(loose), joined))
-    df = df.withColumn("_words", F.when(F.col("_words").rlike(" " + any_of(keywords())), F.col("_words")))
-    words = F.col("_words")
+    df = df.withColumn(WORDS, F.when(raw.rlike(loose), joined))
+    df = df.withColumn(WORDS, F.when(F.col(WORDS).rlike(" " + any_of(keywords())), F.col(WORDS)))
+    words = F.col(WORDS)
     nothing = F.array().cast("array<int>")
     df = df.withColumn("phrase_places", F.array(*(F.when(words.isNotNull(), places(words, p)).otherwise(nothing) for p in PHRASES)))
     df = df.withColumn("detections", F.when(words.isNotNull(), resolve(detections(words))))

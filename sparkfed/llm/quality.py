@@ -149,18 +149,17 @@ def below(rows: DataFrame, share: float) -> DataFrame:
 
 
 def pooled(rows: DataFrame, small: int) -> DataFrame:
-    """rows with pool: language and source, or the language or everything where that has too few rows; null if all has."""
+    """rows with pool: language and source, or the language or everything where that has too few rows; null if all has,
+    or if no row of its language and source can be fitted. Pools are found on the counts, one row per group."""
     text = lambda c: F.coalesce(F.col(c), F.lit(""))
-    rows = rows.withColumn("_own", F.to_json(F.array(text("lang"), text("source")))).withColumn("_lang", F.to_json(F.array(text("lang"))))
-    fitted = rows.where("not base_failed")
-    own = fitted.groupBy("_own").agg(F.count(F.lit(1)).alias("_n1"))
-    rows = rows.join(own, "_own", "left").withColumn("_big1", F.coalesce(F.col("_n1") >= small, F.lit(False)))
-    lang = rows.where("not base_failed and not _big1").groupBy("_lang").agg(F.count(F.lit(1)).alias("_n2"))
-    rows = rows.join(lang, "_lang", "left").withColumn("_big2", F.coalesce(F.col("_n2") >= small, F.lit(False)))
-    rest = rows.where("not base_failed and not _big1 and not _big2").agg(F.count(F.lit(1)).alias("_n3"))
-    rows = rows.join(F.broadcast(rest))  # one row
-    pool = F.when(F.col("_big1"), F.col("_own")).when(F.col("_big2"), F.col("_lang")).when(F.col("_n3") >= small, F.lit("*"))
-    return rows.withColumn("pool", pool).drop("_own", "_lang", "_n1", "_n2", "_n3", "_big1", "_big2")
+    rows = rows.withColumn("_own", F.to_json(F.array(text("lang"), text("source"))))
+    lang = F.to_json(F.array(text("lang")))
+    own = materialise(rows.where("not base_failed").groupBy("_own", lang.alias("_lang")).agg(F.count(F.lit(1)).alias("n")))
+    few = own.where(F.col("n") < small).groupBy("_lang").agg(F.sum("n").alias("m"))
+    rest = few.where(F.col("m") < small).agg(F.coalesce(F.sum("m"), F.lit(0))).first()[0]
+    pool = F.when(F.col("n") >= small, F.col("_own")).when(F.col("m") >= small, F.col("_lang")).when(F.lit(rest >= small), F.lit("*"))
+    of = own.join(few, "_lang", "left").select("_own", pool.alias("pool"))
+    return rows.join(of, "_own", "left").drop("_own")
 
 
 def judged(docs: DataFrame, limit: float = LIMIT, core: float = CORE, steps: int = STEPS, small: int = SMALL) -> DataFrame:
