@@ -30,13 +30,16 @@ def lines(docs: DataFrame) -> DataFrame:
     """A row for each line with a word: at (doc_id, line number, hash of the text), words, n, h (128 bits)."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", F.xxhash64(text).alias("th"), F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"))
-    words = F.array_remove(F.split("line", SPACE), "")
-    rows = rows.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).withColumn("words", words)
+    rows = rows.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).withColumn("words", split_words(F.col("line")))
     at = F.struct("doc_id", "pos", "th")
     h = F.struct(F.xxhash64("words").alias("a"), F.xxhash64(F.lit(1), "words").alias("b"))
     return rows.select(at.alias("at"), "words", F.size("words").alias("n"), h.alias("h"))
 
 
+def split_words(line: Column) -> Column:
+    return F.array_remove(F.split(line, SPACE), "")
+
+
 def half_keys(words: Column, n: Column) -> Column:
     """Keys of which two lines within one edit share one: halves of a length, the line's own or one less."""
 
@@ -79,20 +82,24 @@ def near(found: DataFrame, docs: DataFrame) -> DataFrame:
 
     found: distinct lines with first, n, h and keys."""
     wide = found.where(F.col("n") >= MIN_WORDS)
-    shared = wide.select(F.explode("keys").alias("key"), "h").groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select("key")
-    lively = materialise(wide.select("h", "first", F.explode("keys").alias("key")).join(shared, "key", "left_semi").select("h", "first").distinct())
-    text = lines(docs).where(F.col("n") >= MIN_WORDS).join(lively, ["h"]).where("at = first")
-    text = materialise(text.select("at", "words", "n").dropDuplicates(["at"]))
-    rows = text.withColumn("p", polynomial(F.col("words"))).select("at", "n", "p")
-    whole = rows.select("at", "n", (F.element_at("p.p0", -1) * (2**31) + F.element_at("p.p1", -1)).alias("key"))
-    variants = materialise(
-        rows.select("at", F.col("n"), "p", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i")).select("at", (F.col("n") - 1).alias("m"), "i", variant_key("p", F.col("n"), F.col("i")).alias("key"))
-    )
+    shared = wide.select(F.explode(F.array_distinct("keys")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    lively = materialise(wide.select(F.col("first").alias("at"), F.explode("keys").alias("key")).join(shared, "key", "left_semi").select("at").distinct())
+    # Their words, by place: the lines themselves are shuffled, not their words, and split afterwards.
+    text = F.coalesce(F.col("text"), F.lit(""))
+    every = docs.select("doc_id", F.xxhash64(text).alias("th"), F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"))
+    text = every.select(F.struct("doc_id", "pos", "th").alias("at"), "line").join(lively.hint("merge"), "at", "left_semi").dropDuplicates(["at"])
+    text = materialise(text.select("at", split_words(F.col("line")).alias("words")).withColumn("n", F.size("words")))
+    # One row for each word left out, and one, with i = -1, for the line itself; the hashes are computed once.
+    i, n = F.col("i"), F.col("n")
+    rows = text.select("at", "n", polynomial(F.col("words")).alias("p")).select("at", "n", "p", F.explode(F.sequence(F.lit(-1), n - 1)).alias("i"))
+    own = F.element_at("p.p0", -1) * (2**31) + F.element_at("p.p1", -1)
+    keys = materialise(rows.select("at", F.when(i < 0, n).otherwise(n - 1).alias("m"), "i", F.when(i < 0, own).otherwise(variant_key("p", n, i)).alias("key")))
+    whole, variants = keys.where("i < 0").select("at", "m", "key"), keys.where("i >= 0")
     same = variants.groupBy("key", "m", "i").agg(F.min("at").alias("low"), F.max("at").alias("high")).where("low <> high").drop("high")
     replaced = variants.join(same, ["key", "m", "i"]).where("at > low").select("at", F.col("low").alias("of"))
     beside = variants.groupBy("key", "m").agg(F.min("at").alias("low"))
-    put = beside.join(whole.withColumnRenamed("n", "m"), ["key", "m"]).where("at > low").select("at", F.col("low").alias("of"))
-    left_out = variants.join(whole.select(F.col("n").alias("m"), "key", F.col("at").alias("of")), ["key", "m"]).where("at > of").select("at", "of")
+    put = beside.join(whole, ["key", "m"]).where("at > low").select("at", F.col("low").alias("of"))
+    left_out = variants.join(whole.select("m", "key", F.col("at").alias("of")), ["key", "m"]).where("at > of").select("at", "of")
     links = replaced.union(put).union(left_out).distinct()
     # Verified: all but one word of the longer line are in a common start and a common end.
     x, y = text.select(F.col("at"), F.col("words").alias("x")), text.select(F.col("at").alias("of"), F.col("words").alias("y"))
@@ -136,14 +143,14 @@ def rewrite(docs: DataFrame) -> DataFrame:
     """docs with only the lines that stay in text, and those without a word between them; null text becomes empty.
 
     A row whose lines all go stays, with what is left of its text. Columns stay as they are."""
-    kept = kept_lines(docs).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), F.col("kept").alias("_kept"))
+    kept = kept_lines(docs).select(F.col("doc_id").alias("__sparkfed_id"), F.col("th").alias("__sparkfed_th"), F.col("kept").alias("__sparkfed_kept"))
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.withColumn("_text", text)
-    on = rows["doc_id"].eqNullSafe(kept["_id"]) & (F.xxhash64("_text") == kept["_th"])
+    rows = docs.withColumn("__sparkfed_text", text)
+    on = rows["doc_id"].eqNullSafe(kept["__sparkfed_id"]) & (F.xxhash64("__sparkfed_text") == kept["__sparkfed_th"])
     rows = rows.join(kept, on, "left")
-    split = F.split("_text", "\n", -1)
-    blank = F.filter(F.sequence(F.lit(0), F.size(split) - 1), lambda i: ~F.get(F.col("_lines"), i).rlike(r"[^\x20\x09-\x0D]"))
-    rows = rows.withColumn("_lines", split).withColumn("_stay", F.array_sort(F.concat(F.coalesce("_kept", F.array().cast("array<int>")), blank)))
-    new = F.array_join(F.transform("_stay", lambda i: F.get(F.col("_lines"), i)), "\n")
+    split = F.split("__sparkfed_text", "\n", -1)
+    blank = F.filter(F.sequence(F.lit(0), F.size(split) - 1), lambda i: ~F.get(F.col("__sparkfed_lines"), i).rlike(r"[^\x20\x09-\x0D]"))
+    rows = rows.withColumn("__sparkfed_lines", split).withColumn("__sparkfed_stay", F.array_sort(F.concat(F.coalesce("__sparkfed_kept", F.array().cast("array<int>")), blank)))
+    new = F.array_join(F.transform("__sparkfed_stay", lambda i: F.get(F.col("__sparkfed_lines"), i)), "\n")
     kind = docs.schema["text"].dataType
     return rows.withColumn("text", new.cast(kind)).select(*docs.columns)
