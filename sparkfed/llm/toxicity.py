@@ -18,26 +18,28 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value, worker_cache
+from .common import by_value, give_back, worker_cache
 
 WORD = r"[^\W_]+"
 PREFIXES = (3, 4, 5, 6, 7)
 #: The most labelled documents that a model is fitted on: toxic ones, and others.
-SAMPLE_TOXIC, SAMPLE_CLEAN = 3000, 5000
+SAMPLE_TOXIC, SAMPLE_CLEAN = 2000, 3000
 SEGMENT = 512
 
 
 @dataclass
 class Model:
-    weights: dict[str, float] = field(default_factory=dict)
+    weights: dict[int, float] = field(default_factory=dict)  # by a feature's 64-bit hash
     bias: float = -4.0
     moves: tuple[float, float, float] = (0.0, 0.0, 0.0)  # log weights of 0>1, 1>0 and 1>1
     line: tuple[float, ...] = (-2.0, 0.0, 0.0)  # of the document's score: constant, log1p of the sum, maximum
     key: str = ""
 
 
-def features(word: str) -> list[str]:
-    return ["=" + word, *(word[:k] for k in PREFIXES if len(word) >= k)]
+def features(word: str) -> list[int]:
+    from xxhash import xxh64_intdigest
+
+    return [xxh64_intdigest("=" + word), *(xxh64_intdigest(word[:k]) for k in PREFIXES if len(word) >= k)]
 
 
 def marginals(s, lengths, moves):
@@ -82,22 +84,25 @@ def pair_expectations(s, lengths, moves, m):
     inner[np.cumsum(lengths)[:-1]] = False
     inner[0] = False
     i = np.nonzero(inner)[0]
-    a, b = m[i - 1], m[i]
     # with both ends' marginals known, the pair is the 2x2 table with the chain's odds ratio
-    ratio = t11 / (t01 * t10)
-    if abs(ratio - 1) < 1e-9:
-        both = a * b
-    else:
-        c = 1 + (a + b) * (ratio - 1)
-        both = (c - np.sqrt(np.maximum(c * c - 4 * ratio * (ratio - 1) * a * b, 0))) / (2 * (ratio - 1))
-    return np.array([(b - both).sum(), (a - both).sum(), both.sum()])
+    ratio, out = t11 / (t01 * t10), np.zeros(3)
+    for at in range(0, len(i), 200_000):
+        a, b = m[i[at : at + 200_000] - 1], m[i[at : at + 200_000]]
+        if abs(ratio - 1) < 1e-9:
+            both = a * b
+        else:
+            c = 1 + (a + b) * (ratio - 1)
+            both = (c - np.sqrt(np.maximum(c * c - 4 * ratio * (ratio - 1) * a * b, 0))) / (2 * (ratio - 1))
+        out += ((b - both).sum(), (a - both).sum(), both.sum())
+    return out
 
 
 def fit(texts: list[str], toxic: list[int], weight: list[float], rounds: int = 30) -> Model:
-    """A model from labelled texts; weight: how many labelled rows each text stands for.
+    """A model from labelled texts, which are taken out of their list; weight: how many labelled rows each stands for.
 
     Without both labels present, the model gives every text the share of toxic rows."""
     import hashlib
+    from array import array
 
     import numpy as np
 
@@ -108,13 +113,21 @@ def fit(texts: list[str], toxic: list[int], weight: list[float], rounds: int = 3
     if len(y) < 10 or not 0 < y.sum() < len(y):
         return base
     index: dict[str, int] = {}
-    docs = [np.array([index.setdefault(x, len(index)) for x in re.findall(WORD, t.lower())], np.int64) for t in texts]
-    words = list(index)
-    names: dict[str, int] = {}
-    of = [[names.setdefault(f, len(names)) for f in features(x)] for x in words]
-    rows = np.repeat(np.arange(len(words)), [len(x) for x in of])
-    cols = np.fromiter((f for x in of for f in x), np.int64, len(rows))
-    starts = np.searchsorted(rows, np.arange(len(words) + 1))
+    docs = []
+    while texts:  # emptied from its end, to hold each text once
+        docs.append(np.array([index.setdefault(x, len(index)) for x in re.findall(WORD, texts.pop().lower())], np.int32))
+    docs.reverse()
+    per, hashes = [], array("Q")
+    for x in index:
+        own = features(x)
+        per.append(len(own))
+        hashes.extend(own)
+    words = len(index)
+    del index
+    names, cols = np.unique(np.frombuffer(hashes, np.uint64), return_inverse=True)
+    cols = cols.astype(np.int32)
+    rows = np.repeat(np.arange(words, dtype=np.int32), per)
+    starts = np.concatenate(([0], np.cumsum(per)))
     seen = np.zeros((2, len(names)))
     for d, lab in zip(docs, toxic):
         u = np.unique(d)
@@ -127,10 +140,10 @@ def fit(texts: list[str], toxic: list[int], weight: list[float], rounds: int = 3
     if not known.any():
         known = (seen[1] >= 2) & (odds >= 2.0)
     lively = seen.sum(0) >= 3
-    tagged = np.bincount(rows, known[cols], len(words)) > 0
+    tagged = np.bincount(rows, known[cols], words) > 0
 
     def emission(theta, bias):
-        return np.bincount(rows, theta[cols], len(words)) + bias
+        return np.bincount(rows, theta[cols], words) + bias
 
     part = np.arange(len(docs)) % 4 != 3  # the last quarter is for the document's score
     pieces = [d[i : i + SEGMENT] for d, use in zip(docs, part) if use for i in range(0, len(d), SEGMENT)]
@@ -150,7 +163,7 @@ def fit(texts: list[str], toxic: list[int], weight: list[float], rounds: int = 3
     for _ in range(rounds):
         s = emission(theta, bias)[flat]
         m = marginals(s, lens, moves)
-        by_word = np.bincount(flat, tag - m, len(words))
+        by_word = np.bincount(flat, tag - m, words)
         grad = (np.bincount(cols, by_word[rows], len(names)) - 0.05 * theta) * lively
         rest = np.append(want - pair_expectations(s, lens, moves, m), (tag - m).sum())
         g_theta += grad**2
@@ -170,8 +183,7 @@ def fit(texts: list[str], toxic: list[int], weight: list[float], rounds: int = 3
         h = (x * (w2 * p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(3)
         line = line + np.linalg.solve(h, x.T @ (w2 * (y2 - p)) - 0.1 * line)
     keep = np.nonzero(np.abs(theta) > 0.02)[0]
-    at = list(names)
-    model = Model({at[j]: float(theta[j]) for j in keep}, float(bias), tuple(map(float, moves)), tuple(map(float, line)))
+    model = Model({int(names[j]): float(theta[j]) for j in keep}, float(bias), tuple(map(float, moves)), tuple(map(float, line)))
     model.key = hashlib.md5(repr((sorted(model.weights.items()), model.bias, model.moves)).encode()).hexdigest()
     return model
 
@@ -193,8 +205,12 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, toxi
     got = got[got["text"].notna()]
     n = got["toxic"].value_counts().to_dict()
     got = got.iloc[[i for _, i in sorted((hash_of(d), i) for i, d in enumerate(got["doc_id"]))]]
-    weight = [total[t] / n[t] for t in got["toxic"]]
-    return fit(got["text"].tolist(), got["toxic"].tolist(), weight)
+    texts, toxic_ = got["text"].tolist(), got["toxic"].tolist()
+    del got
+    give_back()
+    model = fit(texts, toxic_, [total[t] / n[t] for t in toxic_])
+    give_back()
+    return model
 
 
 def hash_of(x: object) -> int:
@@ -211,7 +227,7 @@ class Emissions(dict):
         self.model = model
 
     def __missing__(self, word: str) -> float:
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         get = self.model.weights.get
         s = self[word] = self.model.bias + sum(get(f, 0.0) for f in features(word))
@@ -273,6 +289,7 @@ def score(docs: DataFrame, model: Model, spans: bool = True) -> DataFrame:
                 s, f = score_batch([t or "" for t in part["text"]], model, spans)
                 new = {"toxic_score": s} | ({"toxic_spans": pd.Series(f, index=part.index, dtype=object)} if spans else {})
                 yield part.assign(**new)
+                give_back()
 
     return docs.mapInPandas(run, schema)
 
