@@ -11,6 +11,11 @@ Buckets hold distinct fingerprints only, so copies never meet as pairs. A bucket
 refined with the same construction over the positions its mask hides (32, then 16, then 8 free bits: the last level
 has at most 256 values), so hot buckets cost a factor of 30, not a square. A bucket gives links to its components'
 smallest members, at most one for each fingerprint.
+
+keep_first has another bound: a similarity of 0.8 of the sets of shingles. There SimHash distances are about ten bits,
+and no covering is small. So it takes several fingerprints of a text, each of the least shingles under ROWS
+permutations; texts of similarity s share one of BANDS with probability 1 - (1 - s^ROWS)^BANDS (0.994 at 0.8). Pairs
+that share one are compared by their shingles, exactly.
 """
 
 from __future__ import annotations
@@ -25,6 +30,9 @@ from .common import by_value, components, materialise
 RADIUS = 4
 BUCKET = 512
 SEED = 42
+#: keep_first: the least similarity of near copies, and the fingerprints a text has: BANDS of ROWS minima each.
+SIMILAR = 0.8
+ROWS, BANDS = 7, 22
 
 
 def masks(positions: list[int], radius: int = RADIUS) -> list[int]:
@@ -176,12 +184,114 @@ def near_groups(docs: DataFrame, shingle: int = 4, radius: int = RADIUS, bucket:
     return fp.join(of, "fp").select(F.col("id").alias(id_col), "fp", "component_id", "n_links")
 
 
-def keep_first(docs: DataFrame, shingle: int = 5) -> DataFrame:
-    """docs without those in a near-duplicate group whose smallest id is another row's. Columns stay as they are.
+def shingles(text: str | None, shingle: int = 5):
+    """The distinct XXH64 values of the shingles, sorted; a text of fewer words is one shingle."""
+    import numpy as np
+    import xxhash
+
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    n = max(1, len(words) - shingle + 1)
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(b" ".join(words[i : i + shingle]), SEED) for i in range(n)), np.uint64, n))
+
+
+def similarity(a, b) -> float:
+    """The Jaccard similarity of two results of shingles()."""
+    import numpy as np
+
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both)
+
+
+def multipliers():
+    import numpy as np
+
+    return np.random.default_rng(SEED).integers(0, 2**63, ROWS * BANDS, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def band_keys(own, odd) -> list[int]:
+    """A signed 64-bit key for each band: of the least of the shingles' values under each of ROWS permutations."""
+    import numpy as np
+    import xxhash
 
-    Rows with a null id and repeated rows of a group's smallest id stay."""
-    groups = near_groups(docs.select("doc_id", "text"), shingle)
-    gone = groups.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
+    least = np.full(len(odd), 2**64 - 1, np.uint64)
+    for at in range(0, len(own), 1024):  # bounded memory, whole text
+        np.minimum(least, (own[at : at + 1024, None] * odd).min(axis=0), out=least)
+    keys = (xxhash.xxh64_intdigest(least[i : i + ROWS].tobytes(), i) for i in range(0, len(odd), ROWS))
+    return [x - (x >> 63 << 64) for x in keys]
+
+
+def sketches(docs: DataFrame, shingle: int) -> DataFrame:
+    """Rows (id, text, node, n, keys): node is a digest of the set of shingles, n its size."""
+    import pandas as pd
+
+    def run(batches: Iterator) -> Iterator:
+        import xxhash
+
+        odd = multipliers()
+        for b in batches:
+            for i in range(0, len(b), 1000):
+                part = b.iloc[i : i + 1000]
+                sets = [shingles(t, shingle) for t in part["text"]]
+                keys = pd.Series([band_keys(s, odd) for s in sets], index=part.index, dtype=object)
+                yield part.assign(node=[xxhash.xxh3_128_digest(s.tobytes()) for s in sets], n=[len(s) for s in sets], keys=keys)
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select(F.col("doc_id").alias("id"), "text").mapInPandas(run, f"id {kind}, text string, node binary, n long, keys array<long>")
+
+
+def similar(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
+    """The pairs (a, b) of nodes whose shingles' exact similarity is `least` or more."""
+    import pandas as pd
+
+    def run(batches: Iterator) -> Iterator:
+        last, own = None, None
+        for batch in batches:
+            hit = []
+            for a, b, x, y in zip(batch["a"], batch["b"], batch["x"], batch["y"]):
+                if b != last:
+                    last, own = b, shingles(y, shingle)
+                hit.append(similarity(shingles(x, shingle), own) >= least)
+            yield pd.DataFrame({"a": batch["a"][hit], "b": batch["b"][hit]})
+
+    of = lambda node, text: texts.select(F.col("node").alias(node), F.col("text").alias(text))
+    both = pairs.join(of("a", "x"), "a").join(of("b", "y"), "b").sortWithinPartitions("b")
+    return both.select("a", "b", "x", "y").mapInPandas(run, "a binary, b binary")
+
+
+def similar_groups(docs: DataFrame, shingle: int = 5, least: float = SIMILAR) -> DataFrame:
+    """Rows (id, component_id): the smallest id reachable over pairs of texts of similarity `least` or more.
+
+    Pairs are candidates if they meet in a band. Of each bucket all members are first compared with its smallest one;
+    then all pairs of members that are still in different components are compared, unless their sizes rule it out. So
+    copies of one text never meet as pairs, and no pair of a bucket that matters is left out."""
+    rows = materialise(sketches(docs, shingle))
+    distinct = materialise(rows.groupBy("node").agg(F.min("id").alias("low"), F.first("n").alias("n"), F.first("keys").alias("keys")))
+    bands = distinct.select("node", "n", F.explode("keys").alias("key"))
+    shared = bands.groupBy("key").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("m")).where("m > 1").select("key", "b")
+    bands = materialise(bands.join(shared, "key"))
+    texts = materialise(rows.join(bands.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")))
+    near = materialise(bands.where("node <> b").select(F.col("node").alias("a"), "b").distinct())
+    found = materialise(similar(near, texts, shingle, least))
+    root = components(found).select("node", "root")
+    placed = bands.join(root, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
+    open_ = placed.groupBy("key").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo <> _hi").select("key")
+    placed = materialise(placed.join(open_, "key"))
+    x, y = placed.alias("x"), placed.alias("y")
+    fits = (F.col("x.root") < F.col("y.root")) & (F.least("x.n", "y.n") >= least * F.greatest("x.n", "y.n"))
+    rest = x.join(y, (F.col("x.key") == F.col("y.key")) & fits).select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
+    rest = materialise(rest.join(near, ["a", "b"], "left_anti"))
+    found = found.union(materialise(similar(rest, texts, shingle, least)))
+    root = components(found)
+    named = distinct.select("node", "low").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    low = named.groupBy("root").agg(F.min("low").alias("component_id"))
+    return rows.select("id", "node").join(named.join(low, "root").select("node", "component_id"), "node").select("id", "component_id")
+
+
+def keep_first(docs: DataFrame, shingle: int = 5) -> DataFrame:
+    """docs without those in a group of texts of similarity SIMILAR or more whose smallest id is another row's. Columns
+    stay as they are. Rows with a null id and repeated rows of a group's smallest id stay."""
+    groups = similar_groups(docs.select("doc_id", "text"), shingle)
+    gone = groups.where("component_id <> id").select(F.col("id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti").select(*docs.columns)
 
 

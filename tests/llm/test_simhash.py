@@ -88,3 +88,27 @@ def test_keep_first(spark):
     ids = [r["doc_id"] for r in out.collect()]
     assert 1004 not in ids and 1005 not in ids and 3 in ids and ids.count(None) == 2 and ids.count(5) == 2
     assert sum(i in (1000, 1001, 1002) for i in ids) == 1
+
+
+def test_keep_first_at_the_bound(spark):
+    """Near copies of similarity 0.8 to 0.95 go, whatever their SimHash distance; those under 0.8 stay."""
+    rng = random.Random(8)
+    rows = []
+    for g in range(60):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+        rows.append((len(rows), " ".join(own)))
+        for edits in (1, 2, 3, 6):
+            copy = list(own)
+            for at in rng.sample(range(len(own)), edits):
+                copy[at] = f"x{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(copy)))
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(146)} for _, t in rows]
+    root = list(range(len(rows)))
+    pairs = [(i, j) for i in range(len(rows)) for j in range(i) if i // 5 == j // 5 and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    for i, j in pairs:
+        a, b = sorted((root[i], root[j]))
+        root = [a if r == b else r for r in root]
+    kept = {r["doc_id"] for r in simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = {i for i, r in enumerate(root) if i == r}
+    assert want <= kept and len(kept - want) <= 0.03 * (len(rows) - len(want))
+    assert 60 < len(want) < 200
