@@ -36,6 +36,11 @@ class Model:
     key: str = ""
 
 
+def lowered(text: str) -> list[str]:
+    """The text's words, each in lower case by itself: as many as WORD finds in the text as it is."""
+    return [w.lower() for w in re.findall(WORD, text)]
+
+
 def features(word: str) -> list[int]:
     from xxhash import xxh64_intdigest
 
@@ -115,7 +120,7 @@ def fit(texts: list[str], toxic: list[int], weight: list[float], rounds: int = 3
     index: dict[str, int] = {}
     docs = []
     while texts:  # emptied from its end, to hold each text once
-        docs.append(np.array([index.setdefault(x, len(index)) for x in re.findall(WORD, texts.pop().lower())], np.int32))
+        docs.append(np.array([index.setdefault(x, len(index)) for x in lowered(texts.pop())], np.int32))
     docs.reverse()
     per, hashes = [], array("Q")
     for x in index:
@@ -242,8 +247,7 @@ def score_batch(texts: list[str], model: Model, spans: bool) -> tuple[list[float
         kept.clear()
         kept[model.key] = Emissions(model)
     of = kept[model.key].__getitem__
-    find = re.compile(WORD).findall
-    parts = [np.fromiter(map(of, find(t.lower())), np.float64) for t in texts]
+    parts = [np.fromiter(map(of, lowered(t)), np.float64) for t in texts]
     lens = np.array([len(p) for p in parts], np.int64)
     m = marginals(np.concatenate(parts) if parts else np.zeros(0), lens, model.moves)
     scores, found = [], []
@@ -255,10 +259,9 @@ def score_batch(texts: list[str], model: Model, spans: bool) -> tuple[list[float
         scores.append(float(1 / (1 + np.exp(-np.clip(z, -30, 30)))))
         runs: list[dict] = []
         if spans and n and own.max() >= 0.5:
-            # Offsets are of the text itself: lower-casing can change a text's length, so words are found in it as it is.
+            # Offsets are of the text itself; lower-casing can change a text's length.
             words = list(re.finditer(WORD, t))
-            same = len(words) == n
-            for i in np.nonzero(own >= 0.5)[0].tolist() if same else []:
+            for i in np.nonzero(own >= 0.5)[0].tolist():
                 if runs and runs[-1]["last"] == i - 1:
                     runs[-1] |= {"end": words[i].end(), "last": i, "p": max(runs[-1]["p"], float(own[i]))}
                 else:

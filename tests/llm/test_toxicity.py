@@ -60,3 +60,12 @@ def test_without_labels(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     model = toxicity.train(frame(spark, odd_documents()), labels)
     assert all(r["toxic_score"] < 0.5 for r in toxicity.score(frame(spark, odd_documents()), model).collect())
+
+
+def test_spans_where_lower_case_splits_words(spark):
+    """A dotted capital I becomes two words when the whole text is lowered; the spans stay."""
+    model = toxicity.fit([r[1] for r in corpus()], [r[4] for r in corpus()], [1.0] * 300)
+    text = "İstanbul abc dee vile Rotten GRIMFOUL abe"
+    (row,) = toxicity.score(frame(spark, [(1, text, "en", "a")]), model).collect()
+    found = " ".join(text[s["start"] : s["end"]] for s in row["toxic_spans"])
+    assert all(w in found for w in ("vile", "Rotten", "GRIMFOUL")) and "İstanbul" not in found
