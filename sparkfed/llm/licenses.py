@@ -1,8 +1,8 @@
 """License scans with ordered signature rules, in DataFrame functions alone; rows are scanned in place, nothing is shuffled.
 
 Rules (license_rules.txt) are hand-written regular expressions over the text's words, joined by single spaces. A rule
-is tried only where its keyword occurs at a word's start, and rules at all only where one of all keywords does. Detections are intervals
-of characters. In order of start, longest and then earliest rule first, a detection inside a kept one is dropped, and
+is tried only where its keyword occurs at a word's start, and rules at all only where one of all keywords does. Every
+match of a rule holds its keyword, so that loses nothing. Detections are intervals of characters. In order of start, longest and then earliest rule first, a detection inside a kept one is dropped, and
 so is one that overlaps a kept detection of an earlier rule.
 """
 

@@ -56,3 +56,57 @@ def test_any_of():
 
 def test_empty(spark):
     assert licenses.scan(empty(spark)).count() == 0
+
+
+def expansions(pattern):
+    """Texts of a rule's pattern: every alternative, optional part and character of a set (a few of long ones)."""
+    from re import _parser
+
+    def seq(items):
+        out = [""]
+        for op, arg in items:
+            out = [a + b for a in out for b in one(str(op), arg)]
+        return out
+
+    def one(op, arg):
+        if op == "LITERAL":
+            return [chr(arg)]
+        if op == "BRANCH":
+            return [x for branch in arg[1] for x in seq(branch)]
+        if op == "SUBPATTERN":
+            return seq(arg[3])
+        if op == "MAX_REPEAT":
+            low, high, body = arg
+            return [x * n for n in {low, min(int(high), low + 1)} for x in seq(body)]
+        if op == "IN":
+            out = []
+            for kind, x in arg:
+                out += [chr(x)] if str(kind) == "LITERAL" else ["7"] if str(kind) == "CATEGORY" else [chr(x[0]), chr(x[1])]
+            return out
+        assert op == "ASSERT", op
+        return [""]
+
+    return seq(_parser.parse(pattern))
+
+
+def test_keywords_are_implied():
+    """Whatever a rule matches holds its keyword at a word's start."""
+    for label, _, keyword, pattern in licenses.rules():
+        for text in expansions(pattern):
+            assert re.search(pattern, f" {text} ") and f" {keyword}" in f" {text}", (label, keyword, text)
+
+
+def test_scan_equals_all_rules(spark):
+    """Texts that hold a rule's match and nothing else get what all rules without a prefilter give."""
+    texts = sorted({x for *_, p in licenses.rules() for x in expansions(p)[:: max(1, len(expansions(p)) // 4)]} | {"0BSD", "ASL 2.0", "license file", "Berkeley Software Distribution", "unlicence"})
+    got = {r["doc_id"]: (list(r["labels"]), r["score"]) for r in licenses.scan(frame(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])).collect()}
+    for i, t in enumerate(texts):
+        joined = f" {' '.join(re.findall('[a-z0-9]+', t.lower()))} "
+        found = sorted((m.start(), -m.end(), k, label, s) for k, (label, s, _, p) in enumerate(licenses.rules()) for m in re.finditer(p, joined))
+        kept, end, rank = [], 0, 0
+        for a, b, k, label, s in found:
+            if -b > end and (a >= end or k < rank):
+                kept.append((label, s))
+                end, rank = -b, k
+        base = {label for phrase, label in licenses.PHRASES.items() if f" {phrase} " in joined}
+        assert got[i] == (sorted(base | {x for x, _ in kept}), max([s for _, s in kept] + [licenses.PHRASE_SCORE] * bool(base))), t
