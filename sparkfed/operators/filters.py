@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rewrite import int_div, power, round_half_even, trunc
-from ..plans.registry import Tables, both, same_text
+from ..plans.registry import SQL, Tables, both, same_text
 
 col, lit = F.col, F.lit
 
@@ -147,17 +147,26 @@ def functions_math(t: Tables) -> DataFrame:
     )
 
 
-@both("""SELECT o_orderkey, extract(year FROM o_orderdate) AS y, extract(month FROM o_orderdate) AS m, extract(day FROM o_orderdate) AS d, extract(quarter FROM o_orderdate) AS q,
-CAST(date_trunc('month', o_orderdate) AS DATE)::VARCHAR AS mon, CAST(CAST(o_orderdate AS DATE) + 10 AS DATE)::VARCHAR AS later, CAST(CAST(o_orderdate AS DATE) - 10 AS DATE)::VARCHAR AS sooner, make_date(extract(year FROM o_orderdate)::INT, 1, 1)::VARCHAR AS jan FROM orders WHERE o_orderkey < 2000""")
-def functions_date(t: Tables) -> DataFrame:
+def date_functions(orders: DataFrame) -> DataFrame:
     d = col("o_orderdate")
     day = d.cast("date")
-    return t.orders.where("o_orderkey < 2000").select(
+    return orders.select(
         "o_orderkey", F.year(d).cast("bigint").alias("y"), F.month(d).cast("bigint").alias("m"), F.day(d).cast("bigint").alias("d"), F.quarter(d).cast("bigint").alias("q"),
         F.date_trunc("month", d).cast("date").cast("string").alias("mon"), F.date_add(day, 10).cast("string").alias("later"), F.date_sub(day, 10).cast("string").alias("sooner"), F.make_date(F.year(d), lit(1), lit(1)).cast("string").alias("jan"),
     )
 
 
+@both("""SELECT o_orderkey, extract(year FROM o_orderdate) AS y, extract(month FROM o_orderdate) AS m, extract(day FROM o_orderdate) AS d, extract(quarter FROM o_orderdate) AS q,
+CAST(date_trunc('month', o_orderdate) AS DATE)::VARCHAR AS mon, CAST(CAST(o_orderdate AS DATE) + 10 AS DATE)::VARCHAR AS later, CAST(CAST(o_orderdate AS DATE) - 10 AS DATE)::VARCHAR AS sooner, make_date(extract(year FROM o_orderdate)::INT, 1, 1)::VARCHAR AS jan FROM orders WHERE o_orderkey < 2000""")
+def functions_date(t: Tables) -> DataFrame:
+    return date_functions(t.orders.where("o_orderkey < 2000"))
+
+
+@both(SQL["functions_date"].removesuffix(" WHERE o_orderkey < 2000"))
+def functions_date_all(t: Tables) -> DataFrame:
+    return date_functions(t.orders)
+
+
 same_text(
     "coercion_cast",
     """SELECT o_orderkey, CAST(o_orderkey AS STRING) AS as_text, CAST(CAST(o_orderkey AS STRING) AS INT) AS back, CAST(CAST(o_orderdate AS DATE) AS STRING) AS day_text,

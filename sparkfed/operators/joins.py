@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.registry import Tables, both, same_text
+from ..plans.registry import SQL, Tables, both, same_text
 
 col = F.col
 
@@ -87,10 +87,19 @@ same_text(
 )
 
 
+def labelled(t: Tables, orders: DataFrame) -> DataFrame:
+    local = t.spark.createDataFrame([("F", "done"), ("O", "open")], "code string, label string")
+    return orders.join(local, col("o_orderstatus") == col("code")).select("o_orderkey", "label")
+
+
 @both("SELECT o_orderkey, label FROM orders JOIN (VALUES ('F', 'done'), ('O', 'open')) v(code, label) ON o_orderstatus = code WHERE o_orderkey < 3000")
 def join_local_table(t: Tables) -> DataFrame:
-    local = t.spark.createDataFrame([("F", "done"), ("O", "open")], "code string, label string")
-    return t.orders.where("o_orderkey < 3000").join(local, col("o_orderstatus") == col("code")).select("o_orderkey", "label")
+    return labelled(t, t.orders.where("o_orderkey < 3000"))
+
+
+@both(SQL["join_local_table"].removesuffix(" WHERE o_orderkey < 3000"))
+def join_local_table_all(t: Tables) -> DataFrame:
+    return labelled(t, t.orders)
 
 
 @both("SELECT o_orderkey, n_name, label FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN (VALUES (0, 'zero'), (1, 'one')) v(k, label) ON n_regionkey = k WHERE o_totalprice > 300000")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.order import pg_order
 from ..functions.rewrite import whole_row
-from ..plans.registry import Tables, both, same_text
+from ..plans.registry import SQL, Tables, both, same_text
 
 
 @both("""SELECT c_mktsegment, count(*) AS n_orders, round(sum(o_totalprice), 2) AS revenue, round(avg(o_totalprice), 4) AS avg_price
@@ -55,18 +55,27 @@ def partitioned_union_agg(t: Tables) -> DataFrame:
     return out.agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi"))
 
 
-@both("""SELECT a.o_orderkey, b.l_partkey, b.l_quantity FROM orders a JOIN lineitem b ON a.o_orderkey = b.l_orderkey WHERE a.o_orderkey < 400""")
-def partition_wise_join(t: Tables) -> DataFrame:
-    """Two parents with equal ranges, joined partition by partition."""
+def joined_by_ranges(t: Tables, ranges: list[tuple[int | None, int | None]]) -> DataFrame:
+    """Two parents with equal ranges, joined partition by partition; None: no bound."""
     out = None
-    for lo, hi in ((0, 200), (200, 400)):
-        a = t.orders.where((F.col("o_orderkey") >= lo) & (F.col("o_orderkey") < hi))
-        b = t.lineitem.where((F.col("l_orderkey") >= lo) & (F.col("l_orderkey") < hi))
+    for lo, hi in ranges:
+        within = lambda k: (F.lit(True) if lo is None else F.col(k) >= lo) & (F.lit(True) if hi is None else F.col(k) < hi)
+        a, b = t.orders.where(within("o_orderkey")), t.lineitem.where(within("l_orderkey"))
         part = a.join(b, F.col("o_orderkey") == F.col("l_orderkey")).select("o_orderkey", "l_partkey", "l_quantity")
         out = part if out is None else out.unionByName(part)
     return out
 
 
+@both("""SELECT a.o_orderkey, b.l_partkey, b.l_quantity FROM orders a JOIN lineitem b ON a.o_orderkey = b.l_orderkey WHERE a.o_orderkey < 400""")
+def partition_wise_join(t: Tables) -> DataFrame:
+    return joined_by_ranges(t, [(0, 200), (200, 400)])
+
+
+@both(SQL["partition_wise_join"].removesuffix(" WHERE a.o_orderkey < 400"))
+def partition_wise_join_all(t: Tables) -> DataFrame:
+    return joined_by_ranges(t, [(None, 5000), (5000, None)])
+
+
 @both("""SELECT r.r_regionkey, n.n_nationkey, n.n_nationkey IS NULL AS row_is_null FROM region r LEFT JOIN (SELECT * FROM nation WHERE n_regionkey < 2) n ON r.r_regionkey = n.n_regionkey""")
 def whole_row_struct(t: Tables) -> DataFrame:
     """A whole row of an outer join's nullable side is null where the row is absent."""
