@@ -3,16 +3,22 @@
 from __future__ import annotations
 
 import atexit
+import re
 import sys
 import tempfile
-import types
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _state: dict = {}
+#: Paths that materialise() has made within the innermost settled().
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+#: Whether Spark removes a query's shuffle files when it ends.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def by_value(name: str) -> None:
@@ -70,9 +76,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset (local tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a local session gets one of
+    its own; on a cluster that is an error, since machines do not see each other's folders."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         at = _state.setdefault("dir", None) or "file://" + tempfile.mkdtemp(prefix="sparkfed-")
         _state["dir"] = at
     return at.rstrip("/")
@@ -88,12 +97,51 @@ def _drop(spark: SparkSession, path: str) -> None:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write df once to the shared folder and read it back: lineage is cut, and a lost executor loses nothing."""
+    """Write df once to the shared folder and read it back: lineage is cut, and a lost executor loses nothing.
+
+    The write's shuffle files go as soon as it is done. The result's own files stay until free(), the end of a settled()
+    call or the end of the process."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/sparkfed/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEAN_UP)
+        else:
+            spark.conf.set(CLEAN_UP, before)
     atexit.register(_drop, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    made = _made.get()
+    if made is not None:
+        made.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._sparkfed_path = path
+    return out
+
+
+def free(*found: DataFrame) -> None:
+    """Removes the files of materialise()'s results, once all that reads them has been written."""
+    for df in found:
+        _drop(df.sparkSession, df._sparkfed_path)
+
+
+def settled(make: Callable[[], DataFrame]) -> DataFrame:
+    """The result of make(), materialised; all else that was materialised on the way is removed."""
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        out = materialise(make())
+    finally:
+        _made.reset(token)
+    for path in made:
+        if path != out._sparkfed_path:
+            _drop(out.sparkSession, path)
+    outer = _made.get()
+    if outer is not None:
+        outer.append(out._sparkfed_path)
+    return out
 
 
 def rows_per(df: DataFrame, n_rows: int) -> int:
@@ -121,7 +169,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         large = large.union(low.where("u <> m").select("u", F.col("m").alias("v"))).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
-        e = materialise(small.union(low.select("u", F.col("m").alias("v"))).distinct())
+        last, e = e, materialise(small.union(low.select("u", F.col("m").alias("v"))).distinct())
+        free(last)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break
