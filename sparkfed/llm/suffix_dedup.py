@@ -10,16 +10,18 @@ should a hash have lied, the group is sorted by its bytes.
 
 Which suffixes meet: each string of LENGTH bytes has an anchor, its Q-gram of the smallest hash, and equal strings have
 equal anchors at equal places in them. Strings in a row that share an anchor are a run; of about 35 bytes of text there
-is one run. Texts are packed into chunks of about CHUNK bytes:
+is one run. Texts are packed into units of about CHUNK bytes; a longer text is several units, which overlap by LENGTH - 1
+bytes, so that each of its strings starts in one of them:
 
-1.  Chunks emit the hashes of their anchors, each once. Those that two chunks hold go back to them.
-2.  Chunks sort the suffixes of runs whose anchor occurs again, here or elsewhere. Of equal runs, then of equal strings
+1.  Units emit the hashes of their anchors, each once. Those that two units hold go back to them.
+2.  Units sort the suffixes of runs whose anchor occurs again, here or elsewhere. Of equal runs, then of equal strings
     at the same place to the anchor, all but the earliest are marked. The earliest runs whose anchor others hold are
-    emitted with their bytes, once per chunk whatever the number of copies in it.
-3.  Buckets of anchors sort those in the same way, and send marks back to the chunks, which cut.
+    emitted with their bytes, once per unit whatever the number of copies in it.
+3.  Buckets of anchors sort those in the same way, and send marks back to the units, which cut.
 
-Everything is dealt by hashes of content; chunks and buckets are of bounded size but for what a bucket holds of one
-anchor: at most each chunk's different runs of it.
+An anchor that more than HOT units hold would fill its bucket. Its runs are rows of their own instead, and meet by their
+whole content: minima that are aggregated before they are shuffled, first of runs, then of the strings of those anchors
+of which several different runs are left. So no task holds all that shares a passage.
 """
 
 from __future__ import annotations
@@ -29,12 +31,14 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value, give_back, materialise, worker_cache
+from .common import by_value, free, give_back, materialise, worker_cache
 
 LENGTH, Q, CHUNK = 100, 32, 800_000
 BASE = 0x9E3779B97F4A7C15 | 1
 #: Bytes of text for which there is one bucket of anchors.
-BUCKET = 8_000_000
+BUCKET = 2_000_000
+#: Units with the same anchor over which its runs meet by content.
+HOT = 64
 MIX = 0xD6E8FEB86659FD93
 
 
@@ -222,8 +226,17 @@ def repeats(suffixes: Suffixes, key, anchor, first, last, length: int):
     return again, at[order[head != np.arange(len(order))]]
 
 
-def pack_chunks(docs: DataFrame, id_col: str, text_col: str, chunk: int) -> DataFrame:
-    """Chunks of whole texts, in order of id within each: ids, sizes, the texts' bytes, and the other columns."""
+def segments(sizes, chunk: int, length: int) -> list[tuple[int, int]]:
+    """(start, end) of the units of a chunk of whole texts: the chunk itself, or pieces of its one long text."""
+    total = int(sizes.sum())
+    if len(sizes) != 1 or total <= 2 * chunk:
+        return [(0, total)]
+    return [(at, min(at + chunk + length - 1, total)) for at in range(0, total - length + 1, chunk)]
+
+
+def pack_chunks(docs: DataFrame, id_col: str, text_col: str, chunk: int, length: int) -> DataFrame:
+    """Chunks of whole texts, in order of id within each: ids, sizes, the texts' bytes, and the other columns. Numbers
+    leave room for the units of each chunk."""
     import pyarrow as pa
 
     def run(batches: Iterator) -> Iterator:
@@ -245,42 +258,40 @@ def pack_chunks(docs: DataFrame, id_col: str, text_col: str, chunk: int) -> Data
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, rest.schema) as w:
                 w.write_table(rest)
-            row = [number, np.sort(ids, kind="stable").tobytes(), np.array([len(x) for x in texts], np.int64).tobytes(), zip_(b"".join(texts)), zip_(sink.getvalue().to_pybytes())]
-            number, held, size = number + 1, [], 0
-            return pa.RecordBatch.from_arrays([pa.array([x]) for x in row], names=["chunk", "ids", "sizes", "text", "rest"])
+            sizes = np.array([len(x) for x in texts], np.int64)
+            row = [number, int(sizes.sum()), np.sort(ids, kind="stable").tobytes(), sizes.tobytes(), zip_(b"".join(texts)), zip_(sink.getvalue().to_pybytes())]
+            number, held, size = number + len(segments(sizes, chunk, length)), [], 0
+            return pa.RecordBatch.from_arrays([pa.array([x]) for x in row], names=["chunk", "n", "ids", "sizes", "text", "rest"])
 
         for b in batches:
-            lens = np.array([len(x or b"") for x in b.column(text_col).cast(pa.binary()).to_pylist()], np.int64)
             at = 0
-            while at < b.num_rows:
-                k = int(np.searchsorted(np.cumsum(lens[at:]), chunk - size, side="left")) + 1
-                part = b.slice(at, min(k, b.num_rows - at))
-                held.append(part)
-                size += int(lens[at : at + part.num_rows].sum())
-                at += part.num_rows
-                if size >= chunk:
+            for i, x in enumerate(b.column(text_col).cast(pa.binary())):
+                n = 0 if x.as_buffer() is None else x.as_buffer().size
+                long = n > 2 * chunk
+                if long and (held or i > at):  # a long text is a chunk of its own
+                    held += [b.slice(at, i - at)] * (i > at)
+                    at = i
+                    yield flush()
+                size += n
+                if long or size >= chunk:
+                    held.append(b.slice(at, i + 1 - at))
+                    at = i + 1
                     yield flush()
+            if at < b.num_rows:
+                held.append(b.slice(at))
         if held:
             yield flush()
 
-    return docs.mapInArrow(run, "chunk long, ids binary, sizes binary, text binary, rest binary")
-
-
-def open_chunk(row, most: int):
-    import numpy as np
-    import zstandard
-
-    text = zstandard.ZstdDecompressor().decompress(row["text"])
-    return Suffixes(np.frombuffer(text, np.uint8), most), np.cumsum(np.frombuffer(row["sizes"], np.int64))
+    return docs.mapInArrow(run, "chunk long, n long, ids binary, sizes binary, text binary, rest binary")
 
 
-def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, q: int = Q, chunk: int = CHUNK, bucket: int = BUCKET, whole_characters: bool = False) -> DataFrame:
+def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, q: int = Q, chunk: int = CHUNK, bucket: int = BUCKET, hot: int = HOT, whole_characters: bool = False) -> DataFrame:
     """docs without the text, with n_bytes, spans (start and end of each maximal removed run, in bytes) and kept, the
     bytes that remain. whole_characters: a character of which a byte stays keeps the others too.
 
     Ids are whole numbers; a null id comes before all others. Null text counts as empty; texts under `length` bytes
-    keep all. Of rows that share an id, which one is earlier is fixed but arbitrary. An empty table gives no rows;
-    columns named like the results are replaced."""
+    keep all; a very long text is sorted in pieces. Of rows that share an id, which one is earlier is fixed but
+    arbitrary. An empty table gives no rows; columns named like the results are replaced."""
     import numpy as np
     import pandas as pd
     import pyarrow as pa
@@ -288,38 +299,54 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
 
     most = 2 * length
     docs = docs.select(*(c for c in docs.columns if c not in ("n_bytes", "spans", "kept")))
-    chunks = materialise(pack_chunks(docs, id_col, text_col, chunk))
-    total = materialise(docs.select(F.sum(F.octet_length(text_col)).alias("n"))).first()["n"] or 0
-    parts = max(1, -(-total // bucket))
+    chunks = materialise(pack_chunks(docs, id_col, text_col, chunk, length))
+    parts = max(1, -(-(chunks.agg(F.sum("n")).first()[0] or 0) // bucket))
 
     def deal(key):
         return ((key >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
 
+    def units(row) -> Iterator:
+        """(number, start, sorter, ends of texts) of each unit of a chunk, one at a time."""
+        import zstandard
+
+        text = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["text"]), np.uint8)
+        sizes = np.frombuffer(row["sizes"], np.int64)
+        cuts = segments(sizes, chunk, length)
+        for i, (lo, hi) in enumerate(cuts):
+            give_back()
+            yield row["chunk"] + i, lo, Suffixes(text[lo:hi], most), np.cumsum(sizes) if len(cuts) == 1 else np.array([hi - lo])
+
     def anchors(batches: Iterator) -> Iterator:
         for b in batches:
             worker_cache("suffix")
             for row in b.to_dict("records"):
-                give_back()
-                s, ends = open_chunk(row, most)
-                key = np.unique(runs(s, ends, length, q)[0])
-                to = deal(key)
-                order = np.argsort(to, kind="stable")
-                cuts = np.append(np.nonzero(np.diff(to[order], prepend=-1))[0], len(order))
-                rows = [(int(to[order[i]]), row["chunk"], key[order[i:j]].tobytes()) for i, j in zip(cuts, cuts[1:])]
-                yield pd.DataFrame(rows, columns=["part", "chunk", "keys"])
+                for unit, _, s, ends in units(row):
+                    key = np.unique(runs(s, ends, length, q)[0])
+                    del s
+                    to = deal(key)
+                    order = np.argsort(to, kind="stable")
+                    cuts = np.append(np.nonzero(np.diff(to[order], prepend=-1))[0], len(order))
+                    rows = [(int(to[order[i]]), row["chunk"], unit, key[order[i:j]].tobytes()) for i, j in zip(cuts, cuts[1:])]
+                    yield pd.DataFrame(rows, columns=["part", "chunk", "unit", "keys"])
 
     def shared(group: pd.DataFrame) -> pd.DataFrame:
-        """To each chunk, its anchors that another chunk has."""
+        """To each unit, its anchors that another unit has, and those that more than `hot` have."""
         keys = [np.frombuffer(x, np.uint64) for x in group["keys"]]
         u, n = np.unique(np.concatenate(keys), return_counts=True)
-        u = u[n > 1]
-        rows = [(c, k[np.isin(k, u, assume_unique=True)]) for c, k in zip(group["chunk"], keys)]
-        return pd.DataFrame([(c, k.tobytes()) for c, k in rows if len(k)], columns=["chunk", "keys"])
-
-    emitted = chunks.select("chunk", "sizes", "text").mapInPandas(anchors, "part long, chunk long, keys binary")
-    back = emitted.groupBy("part").applyInPandas(shared, "chunk long, keys binary")
-    back = back.groupBy("chunk").agg(F.collect_list("keys").alias("keys"))
-
+        many = u[n > hot]
+        u = u[(n > 1) & (n <= hot)]
+        rows = []
+        for c, unit, k in zip(group["chunk"], group["unit"], keys):
+            some, more = k[np.isin(k, u, assume_unique=True)], k[np.isin(k, many, assume_unique=True)]
+            if len(some) or len(more):
+                rows.append((c, unit, some.tobytes(), more.tobytes()))
+        return pd.DataFrame(rows, columns=["chunk", "unit", "keys", "hot"])
+
+    emitted = chunks.select("chunk", "sizes", "text").mapInPandas(anchors, "part long, chunk long, unit long, keys binary")
+    back = emitted.groupBy("part").applyInPandas(shared, "chunk long, unit long, keys binary, hot binary")
+    back = back.groupBy("chunk").agg(F.collect_list(F.struct("unit", "keys", "hot")).alias("back"))
+
+    #: part -1: marks of the unit itself; -2: runs of hot anchors, by themselves.
     fields = "part long, chunk long, meta binary, bytes binary"
 
     def local(batches: Iterator) -> Iterator:
@@ -329,34 +356,37 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
         for b in batches:
             worker_cache("suffix")
             for row in b.to_dict("records"):
-                give_back()
-                s, ends = open_chunk(row, most)
-                key, anchor, first, last = runs(s, ends, length, q)
-                far = np.concatenate([np.frombuffer(x, np.uint64) for x in row["keys"]]) if row["keys"] is not None else key[:0]
-                u, where, n = np.unique(key, return_inverse=True, return_counts=True)
-                near = n[where] > 1 if len(key) else np.zeros(0, bool)
-                far = np.isin(key, far)
-                own = np.nonzero(near)[0]
-                again, single = repeats(s, key[own], anchor[own], first[own], last[own], length)
-                again = own[again]
-                marks = np.concatenate((np.stack((first[again], last[again] - first[again] + 1), 1), np.stack((single, np.ones_like(single)), 1)))
-                rows = [(-1, row["chunk"], marks.astype(np.int64).tobytes(), b"")]
-                far[again] = False
-                go = np.nonzero(far)[0]
-                if len(go):
-                    doc = np.searchsorted(ends, first[go], side="right")
-                    ids, begin = np.frombuffer(row["ids"], np.int64), np.concatenate(([0], ends[:-1]))
-                    to = deal(key[go])
-                    order = np.argsort(to, kind="stable")
-                    cuts = np.append(np.nonzero(np.diff(to[order], prepend=-1))[0], len(order))
-                    for i, j in zip(cuts, cuts[1:]):
-                        o = order[i:j]
-                        k = go[o]
-                        meta = np.stack((key[k].view(np.int64), ids[doc[o]], first[k] - begin[doc[o]], first[k], anchor[k] - first[k], last[k] - first[k] + 1), 1)
-                        size = meta[:, 5] + length - 1
-                        at = np.repeat(first[k] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-                        rows.append((int(to[order[i]]), row["chunk"], zip_(meta.tobytes()), zip_(s.data[at].tobytes())))
-                yield pd.DataFrame(rows, columns=["part", "chunk", "meta", "bytes"])
+                ids, sizes = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["sizes"], np.int64)
+                stops = np.cumsum(sizes)
+                asked = {}
+                for x in row["back"] if row["back"] is not None else ():
+                    asked.setdefault(x["unit"], []).append(x)
+                for unit, lo, s, ends in units(row):
+                    key, anchor, first, last = runs(s, ends, length, q)
+                    some = np.concatenate([key[:0], *(np.frombuffer(x["keys"], np.uint64) for x in asked.get(unit, ()))])
+                    many = np.concatenate([key[:0], *(np.frombuffer(x["hot"], np.uint64) for x in asked.get(unit, ()))])
+                    _, where, n = np.unique(key, return_inverse=True, return_counts=True)
+                    own = np.nonzero(n[where] > 1)[0] if len(key) else np.zeros(0, np.int64)
+                    again, single = repeats(s, key[own], anchor[own], first[own], last[own], length)
+                    again = own[again]
+                    marks = np.concatenate((np.stack((first[again], last[again] - first[again] + 1), 1), np.stack((single, np.ones_like(single)), 1)))
+                    marks[:, 0] += lo
+                    rows = [(-1, row["chunk"], marks.astype(np.int64).tobytes(), b"")]
+                    to = np.where(np.isin(key, many), -2, np.where(np.isin(key, some), deal(key), -1))
+                    to[again] = -1
+                    go = np.nonzero(to != -1)[0]
+                    if len(go):
+                        go = go[np.argsort(to[go], kind="stable")]
+                        place = first[go] + lo
+                        doc = np.searchsorted(stops, place, side="right")
+                        meta = np.stack((key[go].view(np.int64), ids[doc], place - (stops - sizes)[doc], place, anchor[go] - first[go], last[go] - first[go] + 1), 1)
+                        cuts = np.append(np.nonzero(np.diff(to[go], prepend=-3))[0], len(go))
+                        for i, j in zip(cuts, cuts[1:]):
+                            size = meta[i:j, 5] + length - 1
+                            at = np.repeat(first[go[i:j]] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+                            rows.append((int(to[go[i]]), row["chunk"], zip_(meta[i:j].tobytes()), zip_(s.data[at].tobytes())))
+                    del s
+                    yield pd.DataFrame(rows, columns=["part", "chunk", "meta", "bytes"])
 
     sorted_ = materialise(chunks.select("chunk", "ids", "sizes", "text").join(back, "chunk", "left").mapInPandas(local, fields))
 
@@ -385,9 +415,28 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
         rows = [(int(chunk_[o[i]]), np.stack((at[o[i:j]], count[o[i:j]]), 1).tobytes()) for i, j in zip(cuts, cuts[1:])]
         return pd.DataFrame(rows, columns=["chunk", "marks"])
 
+    def opened(batches: Iterator) -> Iterator:
+        """A row for each run of a hot anchor."""
+        import zstandard
+
+        unzip = zstandard.ZstdDecompressor().decompress
+        for b in batches:
+            for c, m, x in zip(b["chunk"], b["meta"], b["bytes"]):
+                meta, data = np.frombuffer(unzip(m), np.int64).reshape(-1, 6), unzip(x)
+                stop = np.cumsum(meta[:, 5] + length - 1).tolist()
+                out = pd.DataFrame(meta, columns=["key", "id", "off", "at", "anchor", "count"])
+                yield out.assign(chunk=c, bytes=[data[i:j] for i, j in zip([0, *stop], stop)])
+
     marks = sorted_.where("part >= 0").groupBy("part").applyInPandas(meet, "chunk long, marks binary")
-    marks = sorted_.where("part < 0").select("chunk", F.col("meta").alias("marks")).union(marks)
+    marks = sorted_.where("part = -1").select("chunk", F.col("meta").alias("marks")).union(marks)
     marks = marks.groupBy("chunk").agg(F.collect_list("marks").alias("marks"))
+    held = materialise(sorted_.where("part = -2").mapInPandas(opened, "key long, id long, off long, at long, anchor long, count long, chunk long, bytes binary"))
+    if not held.isEmpty():
+        marks = marks.join(hot_marks(held, length), "chunk", "full")
+    else:
+        marks = marks.withColumn("hot", F.lit(None).cast("array<struct<at:bigint,count:bigint>>"))
+    marks = materialise(marks)
+    free(sorted_, held)
 
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     kept_fields = [f for f in docs.schema.fields if f.name != text_col]
@@ -404,12 +453,16 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
                 text = np.frombuffer(unzip(row["text"]), np.uint8)
                 sizes = np.frombuffer(row["sizes"], np.int64)
                 ends = np.cumsum(sizes)
-                cover = np.zeros(len(text) + 1, np.int32)
-                for x in row["marks"] or []:
-                    m = np.frombuffer(x, np.int64).reshape(-1, 2)
-                    np.add.at(cover, m[:, 0], 1)
-                    np.add.at(cover, m[:, 0] + m[:, 1] - 1 + length, -1)
-                gone = np.cumsum(cover[:-1]) > 0
+                marks = [np.frombuffer(x, np.int64).reshape(-1, 2) for x in row["marks"] or []]
+                marks.append(np.array([(x["at"], x["count"]) for x in row["hot"] or []], np.int64).reshape(-1, 2))
+                marks = np.concatenate(marks)
+                # Spans of strings in a row: their union, by sorted starts.
+                marks = marks[np.argsort(marks[:, 0], kind="stable")]
+                stop = np.maximum.accumulate(marks[:, 0] + marks[:, 1] - 1 + length) if len(marks) else marks[:, 0]
+                new = np.nonzero(np.concatenate(([True], marks[1:, 0] > stop[:-1])))[0] if len(marks) else marks[:, 0]
+                gone = np.zeros(len(text), bool)
+                for x, y in zip(marks[new, 0].tolist(), stop[np.append(new[1:], len(marks)) - 1].tolist() if len(marks) else []):
+                    gone[x:y] = True
                 if whole_characters and len(text):
                     head = np.nonzero(text & 0xC0 != 0x80)[0]
                     head = head if len(head) and head[0] == 0 else np.concatenate(([0], head))
@@ -417,7 +470,7 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
                 spans, kept = [], []
                 for end, size in zip(ends.tolist(), sizes.tolist()):
                     own = gone[end - size : end]
-                    edge = np.diff(np.concatenate(([0], own.view(np.int8), [0])))
+                    edge = np.diff(np.concatenate(([0], own.view(np.int8), [0])).astype(np.int8))
                     spans.append([{"start": x, "end": y} for x, y in zip(np.nonzero(edge == 1)[0].tolist(), np.nonzero(edge == -1)[0].tolist())])
                     kept.append(text[end - size : end][~own].tobytes())
                 rest = pa.ipc.open_stream(unzip(row["rest"])).read_all()
@@ -426,7 +479,26 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
                     rest = rest.append_column(name, x)
                 yield from rest.to_batches(max_chunksize=2000)
 
-    return chunks.drop("ids").join(marks, "chunk", "left").mapInArrow(cut, schema)
+    return chunks.drop("ids", "n").join(marks, "chunk", "left").mapInArrow(cut, schema)
+
+
+def hot_marks(held: DataFrame, length: int) -> DataFrame:
+    """(chunk, hot): places and counts of strings that repeat earlier ones, among runs of hot anchors.
+
+    Content meets content: of equal runs, and then of equal strings of the runs left, all but the earliest are marked.
+    Minima are aggregated before the shuffle; the joins back are plain ones, which adaptive execution splits where one
+    content is hot."""
+    place = F.struct("id", "off", "chunk", "at")
+    same = ["key", "anchor", "bytes"]
+    first = materialise(held.groupBy(*same, "count").agg(F.min(place).alias("first")))
+    again = held.join(first.drop("count"), same).where(place > F.col("first")).select("chunk", "at", "count")
+    several = first.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    left = first.join(several, "key", "left_semi").select("first", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)).alias("i"))
+    string = F.substring(F.col("bytes"), F.col("i").cast("int") + 1, F.lit(length)).alias("string")
+    left = left.select(string, F.struct("first.id", (F.col("first.off") + F.col("i")).alias("off"), "first.chunk", (F.col("first.at") + F.col("i")).alias("at")).alias("place"))
+    low = left.groupBy("string").agg(F.min("place").alias("low"), F.max("place").alias("high")).where("low <> high").drop("high")
+    single = left.join(low, "string").where("place > low").select("place.chunk", "place.at", F.lit(1).cast("long").alias("count"))
+    return again.union(single).groupBy("chunk").agg(F.collect_list(F.struct("at", "count")).alias("hot"))
 
 
 def rewrite(docs: DataFrame) -> DataFrame:

@@ -40,8 +40,9 @@ def test_against_brute_force(spark):
     docs = documents()
     df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(5)
     want = brute(docs, 100)
-    for chunk, bucket in ((3000, 4000), (10**7, 10**7)):
-        got = suffix_dedup.removed(df, chunk=chunk, bucket=bucket).collect()
+    # with and without several chunks, buckets, hot anchors and texts that are cut into units
+    for chunk, bucket, hot in ((3000, 4000, 64), (10**7, 10**7, 64), (2000, 4000, 3), (400, 20_000, 1)):
+        got = suffix_dedup.removed(df, chunk=chunk, bucket=bucket, hot=hot).collect()
         assert {r["doc_id"]: (r["n_bytes"], sum(s["end"] - s["start"] for s in r["spans"]), len(r["spans"]), bytes(r["kept"])) for r in got} == want
 
 
