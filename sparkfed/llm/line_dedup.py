@@ -1,13 +1,15 @@
 """Lines that repeat earlier ones, exactly or but for one word, in DataFrame functions alone.
 
 A line is its sequence of words; lines without a word are left alone. Of equal lines the earliest stays (smallest
-doc_id, then line number). A line of MIN_WORDS words or more also goes if an earlier line turns into it by one edit: a
-word put in, left out or replaced. This is judged on the input, not on what is left.
+doc_id, then line number). A line of min_words words or more also goes if an earlier such line turns into it by one edit:
+a word put in, left out or replaced. This is judged on the input, not on what is left. min_words is part of what a
+near line is, whatever the table's size; with 1, every line takes part.
 
 Deletion neighbourhoods: each distinct line emits the hash of every variant with one word left out. Lines that agree in
 a variant and in the place left out differ by a replacement; a line that equals another's variant differs by a word
 left out. Each key's earliest line is a minimum, so links are never emitted as pairs within a group: a line needs the
-earliest one alone. Every link is then verified on the words themselves.
+earliest one alone. Every link is then verified on the words themselves; where two different variants had one hash, all
+earlier lines of that key are tried.
 
 Before that, lines that cannot have a partner are set aside, without loss: one edit leaves either the first or the last
 half of the shorter line as it was, so a line whose halves occur in no other line emits nothing.
@@ -18,26 +20,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import free, materialise
 
 MIN_WORDS = 8
-SPACE = r"[\x20\x09-\x0D]+"
+#: White space that separates words within a line, but for the space itself.
+OTHER_SPACE = "\t\x0b\x0c\r"
 #: A polynomial hash has two bases modulo a prime; products of two residues fit a long.
 PRIME, BASES = 2**31 - 1, (1_000_003, 998_244_353)
 
 
-def lines(docs: DataFrame) -> DataFrame:
-    """A row for each line with a word: at (doc_id, line number, hash of the text), words, n, h (128 bits)."""
+def split_lines(docs: DataFrame) -> DataFrame:
+    """(at, line): a row for each line, at (doc_id, line number, hash of the text); only spaces separate words."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", F.xxhash64(text).alias("th"), F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"))
-    rows = rows.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).withColumn("words", split_words(F.col("line")))
-    at = F.struct("doc_id", "pos", "th")
+    plain = F.when(text.rlike("[\t\x0b-\r]"), F.translate(text, OTHER_SPACE, " " * len(OTHER_SPACE))).otherwise(text)
+    rows = docs.select("doc_id", F.xxhash64(text).alias("th"), F.split(plain, "\n", -1).alias("lines"))
+    rows = rows.select("doc_id", "th", F.posexplode("lines").alias("pos", "line"))
+    return rows.select(F.struct("doc_id", "pos", "th").alias("at"), "line")
+
+
+def lines(docs: DataFrame) -> DataFrame:
+    """A row for each line with a word: at, words, n, h (128 bits)."""
+    rows = split_lines(docs).withColumn("words", split_words(F.col("line")))
     h = F.struct(F.xxhash64("words").alias("a"), F.xxhash64(F.lit(1), "words").alias("b"))
-    return rows.select(at.alias("at"), "words", F.size("words").alias("n"), h.alias("h"))
+    return rows.withColumn("n", F.size("words")).where("n > 0").select("at", "words", "n", h.alias("h"))
 
 
 def split_words(line: Column) -> Column:
-    return F.array_remove(F.split(line, SPACE), "")
+    return F.array_remove(F.split(line, " ", -1), "")
 
 
 def half_keys(words: Column, n: Column) -> Column:
@@ -56,11 +65,12 @@ def polynomial(words: Column) -> Column:
     start = F.struct(zero.alias("p0"), zero.alias("p1"), one.alias("w0"), one.alias("w1"))
 
     def add(acc: Column, w: Column) -> Column:
-        x = F.pmod(F.xxhash64(w), F.lit(PRIME)) + 1
+        h = F.xxhash64(w)
+        own = F.pmod(h, F.lit(PRIME)) + 1, F.pmod(F.shiftrightunsigned(h, 32), F.lit(PRIME)) + 1  # of different bits
         last = lambda name: F.element_at(acc[name], -1)
         out = []
         for k, base in enumerate(BASES):
-            out.append(F.array_append(acc[f"p{k}"], (last(f"p{k}") * base + x) % PRIME).alias(f"p{k}"))
+            out.append(F.array_append(acc[f"p{k}"], (last(f"p{k}") * base + own[k]) % PRIME).alias(f"p{k}"))
             out.append(F.array_append(acc[f"w{k}"], last(f"w{k}") * base % PRIME).alias(f"w{k}"))
         return F.struct(out[0], out[2], out[1], out[3])
 
@@ -77,18 +87,17 @@ def variant_key(p: str, n: Column, i: Column) -> Column:
     return parts[0] * (2**31) + parts[1]
 
 
-def near(found: DataFrame, docs: DataFrame) -> DataFrame:
+def near(found: DataFrame, docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(at, of): distinct lines that an earlier one turns into by one edit, and the earliest such; both are first places.
 
     found: distinct lines with first, n, h and keys."""
-    wide = found.where(F.col("n") >= MIN_WORDS)
+    wide = found.where(F.col("n") >= min_words)
     shared = wide.select(F.explode(F.array_distinct("keys")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     lively = materialise(wide.select(F.col("first").alias("at"), F.explode("keys").alias("key")).join(shared, "key", "left_semi").select("at").distinct())
     # Their words, by place: the lines themselves are shuffled, not their words, and split afterwards.
-    text = F.coalesce(F.col("text"), F.lit(""))
-    every = docs.select("doc_id", F.xxhash64(text).alias("th"), F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"))
-    text = every.select(F.struct("doc_id", "pos", "th").alias("at"), "line").join(lively.hint("merge"), "at", "left_semi").dropDuplicates(["at"])
+    text = split_lines(docs).join(lively.hint("merge"), "at", "left_semi").dropDuplicates(["at"])
     text = materialise(text.select("at", split_words(F.col("line")).alias("words")).withColumn("n", F.size("words")))
+    free(lively)
     # One row for each word left out, and one, with i = -1, for the line itself; the hashes are computed once.
     i, n = F.col("i"), F.col("n")
     rows = text.select("at", "n", polynomial(F.col("words")).alias("p")).select("at", "n", "p", F.explode(F.sequence(F.lit(-1), n - 1)).alias("i"))
@@ -96,37 +105,49 @@ def near(found: DataFrame, docs: DataFrame) -> DataFrame:
     keys = materialise(rows.select("at", F.when(i < 0, n).otherwise(n - 1).alias("m"), "i", F.when(i < 0, own).otherwise(variant_key("p", n, i)).alias("key")))
     whole, variants = keys.where("i < 0").select("at", "m", "key"), keys.where("i >= 0")
     same = variants.groupBy("key", "m", "i").agg(F.min("at").alias("low"), F.max("at").alias("high")).where("low <> high").drop("high")
-    replaced = variants.join(same, ["key", "m", "i"]).where("at > low").select("at", F.col("low").alias("of"))
+    replaced = variants.join(same, ["key", "m", "i"]).where("at > low").select("at", F.col("low").alias("of"), "key", "m", "i")
     beside = variants.groupBy("key", "m").agg(F.min("at").alias("low"))
-    put = beside.join(whole, ["key", "m"]).where("at > low").select("at", F.col("low").alias("of"))
-    left_out = variants.join(whole.select("m", "key", F.col("at").alias("of")), ["key", "m"]).where("at > of").select("at", "of")
-    links = replaced.union(put).union(left_out).distinct()
-    # Verified: all but one word of the longer line are in a common start and a common end.
+    put = beside.join(whole, ["key", "m"]).where("at > low").select("at", F.col("low").alias("of"), "key", "m", F.lit(-1).alias("i"))
+    left_out = variants.join(whole.select("m", "key", F.col("at").alias("of")), ["key", "m"]).where("at > of").select("at", "of", "key", "m", F.lit(-2).alias("i"))
+    checked = materialise(verified(replaced.union(put).union(left_out), text))
+    links = checked.where("good").select("at", "of")
+    wrong = checked.where("not good and i > -2")
+    if not wrong.isEmpty():  # different variants with one hash: all earlier lines of that key
+        earlier = variants.select(F.col("at").alias("of"), "key", "m", F.col("i").alias("place"))
+        more = wrong.drop("of", "good").join(earlier, ["key", "m"]).where("at > of and (i = -1 or place = i)").select("at", "of", "key", "m", "i").distinct()
+        links = links.union(materialise(verified(more, text)).where("good").select("at", "of"))
+    links = materialise(links.groupBy("at").agg(F.min("of").alias("of")))
+    free(text, keys, checked)
+    return links
+
+
+def verified(links: DataFrame, text: DataFrame) -> DataFrame:
+    """links with good: whether all but one word of the longer line are in a common start and a common end."""
     x, y = text.select(F.col("at"), F.col("words").alias("x")), text.select(F.col("at").alias("of"), F.col("words").alias("y"))
     pairs = links.join(x, "at").join(y, "of")
     apart = F.array_position(F.zip_with("x", "y", lambda a, b: a.eqNullSafe(b)), False)  # first difference, from 1; 0: none
     nx, ny, at = F.size("x"), F.size("y"), F.col("_apart")
     rest_x, rest_y = (F.slice(w, at + F.when(n >= m, 1).otherwise(0), n) for w, n, m in (("x", nx, ny), ("y", ny, nx)))
     good = (F.abs(nx - ny) <= 1) & (at > 0) & (rest_x == rest_y)
-    return pairs.withColumn("_apart", apart.cast("int")).where(good).groupBy("at").agg(F.min("of").alias("of"))
+    return pairs.withColumn("_apart", apart.cast("int")).select(*links.columns, good.alias("good"))
 
 
-def decisions(docs: DataFrame) -> DataFrame:
+def decisions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Distinct lines: first (the earliest place), n, n_places, near (whether an earlier line is one edit away), of."""
-    rows = lines(docs).withColumn("keys", F.when(F.col("n") >= MIN_WORDS, half_keys(F.col("words"), F.col("n"))))
+    rows = lines(docs).withColumn("keys", F.when(F.col("n") >= min_words, half_keys(F.col("words"), F.col("n"))))
     found = rows.groupBy("h").agg(F.min("at").alias("first"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.count(F.lit(1)).alias("n_places"))
     found = materialise(found)
-    gone = near(found, docs).select(F.col("at").alias("first"), "of")
+    gone = near(found, docs, min_words).select(F.col("at").alias("first"), "of")
     return found.select("first", "n", "n_places").join(gone, "first", "left").withColumn("near", F.col("of").isNotNull())
 
 
-def kept_lines(docs: DataFrame) -> DataFrame:
+def kept_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, th, kept): the numbers of the lines with a word that stay, ascending; no row for a text without any."""
-    stay = decisions(docs).where(~F.col("near"))
+    stay = decisions(docs, min_words).where(~F.col("near"))
     return stay.groupBy("first.doc_id", "first.th").agg(F.array_sort(F.collect_list("first.pos")).alias("kept"))
 
 
-def report(docs: DataFrame) -> DataFrame:
+def report(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, n_lines (with a word) and kept (numbers of those that stay, from 0) for each row of docs.
 
     Null text counts as empty. Rows that share id and text share places, and keep the same lines; null ids come first
@@ -134,16 +155,16 @@ def report(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     counted = F.size(F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     rows = docs.select(F.col("doc_id").alias("_id"), F.xxhash64(text).alias("_th"), counted.cast("long").alias("n_lines"))
-    kept = kept_lines(docs)
+    kept = kept_lines(docs, min_words)
     on = rows["_id"].eqNullSafe(kept["doc_id"]) & (rows["_th"] == kept["th"])
     return rows.join(kept, on, "left").select(F.col("_id").alias("doc_id"), "n_lines", F.coalesce("kept", F.array().cast("array<int>")).alias("kept"))
 
 
-def rewrite(docs: DataFrame) -> DataFrame:
+def rewrite(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """docs with only the lines that stay in text, and those without a word between them; null text becomes empty.
 
     A row whose lines all go stays, with what is left of its text. Columns stay as they are."""
-    kept = kept_lines(docs).select(F.col("doc_id").alias("__sparkfed_id"), F.col("th").alias("__sparkfed_th"), F.col("kept").alias("__sparkfed_kept"))
+    kept = kept_lines(docs, min_words).select(F.col("doc_id").alias("__sparkfed_id"), F.col("th").alias("__sparkfed_th"), F.col("kept").alias("__sparkfed_kept"))
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.withColumn("__sparkfed_text", text)
     on = rows["doc_id"].eqNullSafe(kept["__sparkfed_id"]) & (F.xxhash64("__sparkfed_text") == kept["__sparkfed_th"])

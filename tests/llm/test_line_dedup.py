@@ -35,6 +35,14 @@ def test_against_brute_force(spark):
     assert got == brute(rows)
 
 
+def test_collisions_lose_nothing(spark, monkeypatch):
+    """With hashes of few values most first links are wrong; the others of the key are tried then."""
+    monkeypatch.setattr(line_dedup, "PRIME", 5)
+    rows = odd_documents() + extra()
+    got = sorted((str(r["doc_id"]), list(r["kept"])) for r in line_dedup.report(frame(spark, rows)).collect())
+    assert got == brute(rows)
+
+
 def test_rewrite(spark):
     rows = odd_documents() + extra()
     df = frame(spark, rows)
