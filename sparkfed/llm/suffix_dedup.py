@@ -36,9 +36,9 @@ from .common import by_value, free, give_back, materialise, worker_cache
 LENGTH, Q, CHUNK = 100, 32, 800_000
 BASE = 0x9E3779B97F4A7C15 | 1
 #: Bytes of text for which there is one bucket of anchors.
-BUCKET = 2_000_000
+BUCKET = 4_000_000
 #: Units with the same anchor over which its runs meet by content.
-HOT = 64
+HOT = 256
 MIX = 0xD6E8FEB86659FD93
 
 
@@ -429,14 +429,14 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
 
     marks = sorted_.where("part >= 0").groupBy("part").applyInPandas(meet, "chunk long, marks binary")
     marks = sorted_.where("part = -1").select("chunk", F.col("meta").alias("marks")).union(marks)
-    marks = marks.groupBy("chunk").agg(F.collect_list("marks").alias("marks"))
+    marks = materialise(marks.groupBy("chunk").agg(F.collect_list("marks").alias("marks")))
     held = materialise(sorted_.where("part = -2").mapInPandas(opened, "key long, id long, off long, at long, anchor long, count long, chunk long, bytes binary"))
-    if not held.isEmpty():
-        marks = marks.join(hot_marks(held, length), "chunk", "full")
-    else:
+    free(sorted_)
+    if held.isEmpty():
         marks = marks.withColumn("hot", F.lit(None).cast("array<struct<at:bigint,count:bigint>>"))
-    marks = materialise(marks)
-    free(sorted_, held)
+    else:
+        marks = marks.join(materialise(hot_marks(held, length)), "chunk", "full")
+    free(held)
 
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     kept_fields = [f for f in docs.schema.fields if f.name != text_col]
@@ -496,7 +496,7 @@ def hot_marks(held: DataFrame, length: int) -> DataFrame:
     left = first.join(several, "key", "left_semi").select("first", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)).alias("i"))
     string = F.substring(F.col("bytes"), F.col("i").cast("int") + 1, F.lit(length)).alias("string")
     left = left.select(string, F.struct("first.id", (F.col("first.off") + F.col("i")).alias("off"), "first.chunk", (F.col("first.at") + F.col("i")).alias("at")).alias("place"))
-    low = left.groupBy("string").agg(F.min("place").alias("low"), F.max("place").alias("high")).where("low <> high").drop("high")
+    low = left.groupBy("string").agg(F.min("place").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     single = left.join(low, "string").where("place > low").select("place.chunk", "place.at", F.lit(1).cast("long").alias("count"))
     return again.union(single).groupBy("chunk").agg(F.collect_list(F.struct("at", "count")).alias("hot"))
 
