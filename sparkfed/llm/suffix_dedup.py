@@ -37,8 +37,8 @@ LENGTH, Q, CHUNK = 100, 32, 800_000
 BASE = 0x9E3779B97F4A7C15 | 1
 #: Bytes of text for which there is one bucket of anchors.
 BUCKET = 4_000_000
-#: Units with the same anchor over which its runs meet by content.
-HOT = 256
+#: Units with the same anchor that one bucket takes; of more, runs meet by content.
+HOT = 1024
 MIX = 0xD6E8FEB86659FD93
 
 
