@@ -4,8 +4,8 @@ A document's ids with a closing id are one item; only one longer than a sequence
 first piece that takes the remainder. Items differ, for packing, in their length alone. So the instance is a histogram
 of at most `capacity` counts, whatever the corpus' size; it is solved on the driver, many items at a time, and gives
 patterns: which lengths go together, and how often. Executors then number the items of each length and look their
-places up. Numbers come from sums over salted parts of each length, so a length that a third of all items has is no
-single task's work.
+places up. Numbers come from sums over parts of about SALT_ROWS items of each length, so a length that a third of all
+items has is no single task's work.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from .common import by_value, materialise, worker_cache
 
 #: How a byte-level tokenizer cuts a text before it merges: a fixed value.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-SALT_ROWS = 20_000
+SALT_ROWS = 1000
 
 
 def reduction(counts: dict[int, int], capacity: int) -> tuple[list[tuple[tuple[int, ...], int]], dict[int, int]]:
@@ -142,9 +142,10 @@ def places(patterns: list[tuple[tuple[int, ...], int]]) -> dict[int, tuple[list[
     return dict(out)
 
 
-def byte_ranks(path: str) -> dict[bytes, int] | None:
-    """The ids of a tokenizer file's tokens by their bytes, if it is byte-level BPE whose merges are in the order of ids
-    and which does no more; else None. Such a file says the same to any byte-pair encoder."""
+def byte_ranks(path: str) -> tuple[dict[bytes, int], dict[str, int]] | None:
+    """The ids of a tokenizer file's tokens by their bytes, and those of its added tokens by their text, if it is
+    byte-level BPE whose merges are in the order of ids and which does no more; else None. Such a file says the same to
+    any byte-pair encoder."""
     import json
 
     with open(path, encoding="utf-8") as f:
@@ -153,17 +154,22 @@ def byte_ranks(path: str) -> dict[bytes, int] | None:
     plain = model.get("type") == "BPE" and not spec.get("normalizer") and cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True)
     if not plain or model.get("byte_fallback") or model.get("ignore_merges") or model.get("dropout"):
         return None
+    added = {t["content"]: t["id"] for t in spec.get("added_tokens", ())}
+    if any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in spec.get("added_tokens", ())):
+        return None
+    if any(a != b and a in b for a in added for b in added):  # which of two overlapping ones counts is the library's own rule
+        return None
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     letter = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
-    special = {t["content"] for t in spec.get("added_tokens", ())}
-    ranks = {bytes(letter[c] for c in t): i for t, i in model["vocab"].items() if t not in special}
+    ranks = {bytes(letter[c] for c in t): i for t, i in model["vocab"].items() if t not in added}
     merged = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
-    return ranks if merged == sorted(merged) and len(ranks) == 256 + len(set(merged)) else None
+    return (ranks, added) if merged == sorted(merged) and len(ranks) == 256 + len(set(merged)) else None
 
 
 def encoder(path: str):
-    """The worker's function from a text to its ids as little-endian unsigned 32-bit integers, special tokens' strings
-    being ordinary text: the tokenizers library's ids, by a faster encoder where the file allows that."""
+    """The worker's function from a text to its ids as little-endian unsigned 32-bit integers, as the tokenizers library
+    gives them without special tokens around it; added tokens that the text itself holds are tokens. A faster encoder
+    does the work where the file allows that."""
     kept = worker_cache("packing")
     if path not in kept:
         import os
@@ -171,18 +177,17 @@ def encoder(path: str):
         import numpy as np
 
         kept.clear()
-        ranks = byte_ranks(path)
-        if ranks is not None:
+        found = byte_ranks(path)
+        if found is not None:
             import tiktoken
 
-            coder = tiktoken.Encoding("file", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
-            kept[path] = lambda text: coder.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
+            coder = tiktoken.Encoding("file", pat_str=BYTE_LEVEL, mergeable_ranks=found[0], special_tokens=found[1])
+            kept[path] = lambda text: coder.encode_to_numpy(text, allowed_special="all", disallowed_special=()).astype("<u4", copy=False).tobytes()
         else:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
             from tokenizers import Tokenizer
 
             t = Tokenizer.from_file(path)
-            t.encode_special_tokens = True
             kept[path] = lambda text: np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
     return kept[path]
 
@@ -216,15 +221,15 @@ def pieces(docs: DataFrame, path: str, capacity: int, end_id: int) -> DataFrame:
 def pack(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2, salt_rows: int = SALT_ROWS) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id and offset of each piece of each row of docs.
 
-    Null text counts as empty (the closing id alone); null ids and repeated rows are packed like any other; an empty
-    table gives no rows; further columns are ignored."""
+    Null text counts as empty (the closing id alone); null ids and repeated rows are packed like any other; a very long
+    text is encoded whole, then cut; an empty table gives no rows; further columns are ignored."""
     from pyspark.sql import Window
 
     items = materialise(pieces(docs, path, capacity, end_id))
     counts = {r["length"]: r["n"] for r in items.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `capacity` rows
     at = places(solve(counts, capacity))
-    salts = max(1, -(-sum(counts.values()) // salt_rows))
-    items = items.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
+    salts = F.get(F.array(*(F.lit(max(1, -(-counts.get(s, 0) // salt_rows))) for s in range(capacity + 1))), F.col("length").cast("int"))
+    items = items.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), salts))
     parts = items.groupBy("length", "_salt").agg(F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(Window.partitionBy("length").orderBy("_salt")) - F.col("_n")
     parts = parts.select("length", "_salt", before.alias("_before"))

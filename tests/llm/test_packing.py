@@ -89,10 +89,10 @@ def test_empty(spark):
 def test_same_ids_as_the_library():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
+    t = Tokenizer.from_file(PATH)  # as it comes: added tokens in a text are tokens
+    assert 50256 in t.encode("x <|endoftext|> y", add_special_tokens=False).ids
     rng = random.Random(6)
-    parts = ["a", "the", " ", "  ", "\n", "é", "1", "<|endoftext|>", "'s", "日本", "!!", "\t", "\xa0"]
+    parts = ["<|endof", "text|>", "<|endoftext|>", "a", "the", " ", "  ", "\n", "é", "1", "<|endoftext|>", "'s", "日本", "!!", "\t", "\xa0"]
     assert packing.byte_ranks(PATH)
     encode = packing.encoder(PATH)
     for _ in range(500):

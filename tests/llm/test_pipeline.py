@@ -4,6 +4,8 @@ import corpus_pipeline
 from sparkfed.llm import queries
 from sparkfed.llm.common import materialise, table
 
+from .helpers import empty, frame, odd_documents
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -40,3 +42,16 @@ def test_registered(spark):
     names = set(entry.queries())
     assert {"pipeline"} | {n for n in queries.queries()} <= names
     assert {n.split("_")[0] for n in queries.queries()} == {f"op{i}" for i in range(1, 11)}
+
+
+def test_odd_rows(spark, tmp_path):
+    """Nulls, empty and long texts, repeated rows and clashing columns go through all stages; so does an empty table."""
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(30)] + [(None, None, None)], "doc_id long, quality long, toxic long")
+    for name, docs in (("odd", frame(spark, odd_documents())), ("none", empty(spark))):
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        labels.write.parquet(f"{tmp_path}/{name}/labels.parquet")
+    got = corpus_pipeline.run(spark, f"{tmp_path}/odd").collect()
+    ids = {r["doc_id"] for r in got}
+    # copies go, and of texts that are empty by then all but the first
+    assert {None, 0} <= ids and not {1000, 1001, 1002, 1004} & ids
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
