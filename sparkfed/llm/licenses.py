@@ -2,8 +2,9 @@
 
 Rules (license_rules.txt) are hand-written regular expressions over the text's words, joined by single spaces. A rule
 is tried only where its keyword occurs at a word's start, and rules at all only where one of all keywords does. Every
-match of a rule holds its keyword, so that loses nothing. Detections are intervals of characters. In order of start, longest and then earliest rule first, a detection inside a kept one is dropped, and
-so is one that overlaps a kept detection of an earlier rule.
+match of a rule holds its keyword, so that loses nothing. Detections are intervals of characters. They are taken in the
+order of the rules, most important first; one that overlaps a detection taken before, lies in it or contains it, is
+dropped. So what stays does not overlap.
 """
 
 from __future__ import annotations
@@ -46,22 +47,22 @@ def keywords() -> list[str]:
 
 
 def spans(words: Column, rule: Column) -> Column:
-    """The rule's matches: array of (start, -end, order, label, strength)."""
+    """The rule's matches: array of (rank, start, end, label, strength)."""
     pieces = F.transform(F.split(words, rule["pattern"], -1), F.length)
     sizes = F.transform(F.regexp_extract_all(words, rule["pattern"], F.lit(0)), F.length)
 
     def add(acc: Column, x: Column) -> Column:
         start = acc["at"] + x["gap"]
-        found = F.struct(start.alias("start"), (-(start + x["size"])).alias("back"), rule["rank"].alias("rank"), rule["label"].alias("label"), rule["strength"].alias("strength"))
+        found = F.struct(rule["rank"].alias("rank"), start.alias("start"), (start + x["size"]).alias("end"), rule["label"].alias("label"), rule["strength"].alias("strength"))
         return F.struct((start + x["size"]).alias("at"), F.array_append(acc["out"], found).alias("out"))
 
     pairs = F.zip_with(F.slice(pieces, F.lit(1), F.size(sizes)), sizes, lambda g, s: F.struct(g.alias("gap"), s.alias("size")))
-    none = F.array().cast("array<struct<start:int,back:int,rank:int,label:string,strength:double>>")
+    none = F.array().cast("array<struct<rank:int,start:int,end:int,label:string,strength:double>>")
     return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), add)["out"]
 
 
 def detections(words: Column) -> Column:
-    """All matches of rules whose keyword occurs, in order of start, longest first, then earliest rule."""
+    """All matches of rules whose keyword occurs, most important rule first, then in order of start."""
     every = [
         F.struct(F.lit(i).alias("rank"), F.lit(label).alias("label"), F.lit(s).alias("strength"), F.lit(" " + k).alias("keyword"), F.lit(p).alias("pattern"))
         for i, (label, s, k, p) in enumerate(rules())
@@ -71,17 +72,15 @@ def detections(words: Column) -> Column:
 
 
 def resolve(found: Column) -> Column:
-    """The detections that stay: array of (start, end, label, strength)."""
+    """The detections that stay, in order of start: array of (start, end, label, strength)."""
 
-    def step(acc: Column, d: Column) -> Column:
-        end = -d["back"]
-        stays = (end > acc["end"]) & ((d["start"] >= acc["end"]) | (d["rank"] < acc["rank"]))
-        kept = F.struct(d["start"].alias("start"), end.alias("end"), d["label"].alias("label"), d["strength"].alias("strength"))
-        return F.when(stays, F.struct(end.alias("end"), d["rank"].alias("rank"), F.array_append(acc["kept"], kept).alias("kept"))).otherwise(acc)
+    def step(kept: Column, d: Column) -> Column:
+        meets = F.exists(kept, lambda k: (k["start"] < d["end"]) & (d["start"] < k["end"]))
+        own = F.struct(d["start"].alias("start"), d["end"].alias("end"), d["label"].alias("label"), d["strength"].alias("strength"))
+        return F.when(meets, kept).otherwise(F.array_append(kept, own))
 
     none = F.array().cast("array<struct<start:int,end:int,label:string,strength:double>>")
-    first = F.struct(F.lit(0).alias("end"), F.lit(0).alias("rank"), none.alias("kept"))
-    return F.aggregate(found, first, step)["kept"]
+    return F.array_sort(F.aggregate(found, none, step))
 
 
 def places(words: Column, phrase: str) -> Column:
@@ -97,7 +96,8 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs with n_words, phrase_places (array per phrase), detections, labels (array) and score.
 
     Null text counts as empty: no words, no labels, score 0. Offsets of detections are in the joined words. Rows are
-    scanned alone, so repeated rows and ties change nothing; result columns replace those of the same name."""
+    scanned alone, whole however long, so repeated rows and ties change nothing; an empty table gives no rows; result
+    columns replace those of the same name."""
     added = ["n_words", "phrase_places", "detections", "labels", "score"]
     docs = docs.select(*(c for c in docs.columns if c not in added))
     raw = F.coalesce(F.col(text_col), F.lit(""))
