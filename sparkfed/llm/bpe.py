@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from .common import Generations, by_value, worker_cache
 
 LEAF = 16
+#: Tokens of a leaf in decoding.
+LEAVES = 256
 #: Units and matches that a worker remembers, twice over, and pairs of tokens.
 UNITS, MATCHES, CACHED = 200_000, 150_000, 400_000
 #: Unicode's White_Space, as regular expressions of tokenizers' libraries have it.
@@ -122,9 +124,14 @@ class Codec:
         return b"".join(map(self.cache.__getitem__, parts))
 
     def decode(self, ids: bytes) -> bytes:
+        """The bytes of ids: leaves of LEAVES tokens, and neighbours concatenated up the tree."""
         import numpy as np
 
-        return b"".join(map(self.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        tokens = list(map(self.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        parts = [b"".join(tokens[i : i + LEAVES]) for i in range(0, len(tokens), LEAVES)] or [b""]
+        while len(parts) > 1:
+            parts = [a + b for a, b in zip(parts[::2], [*parts[1::2], b""])]
+        return parts[0]
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -147,7 +154,8 @@ def codec(path: str, pattern: str) -> Codec:
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", out: str = "ids") -> DataFrame:
     """docs with the ids of the whole text, as binary little-endian unsigned 32-bit integers.
 
-    Null text counts as empty: no ids. Rows are encoded alone; a column named like the result is replaced."""
+    Null text counts as empty: no ids. Rows are encoded alone, whole however long; an empty table gives no rows; a
+    column named like the result is replaced."""
     return _through(docs, text_col, out, lambda c, t: c.encode(t or ""), path, pattern)
 
 

@@ -273,8 +273,9 @@ def score_batch(texts: list[str], model: Model, spans: bool) -> tuple[list[float
 def score(docs: DataFrame, model: Model, spans: bool = True) -> DataFrame:
     """docs with toxic_score (0 to 1) and, if asked for, toxic_spans: character offsets and the highest marginal.
 
-    Null and empty texts get the score of no tokens. Rows are scored alone, so ties and repeated rows change nothing.
-    Columns named like the two results are replaced."""
+    Null and empty texts get the score of no tokens. Rows are scored alone, so ties and repeated rows change nothing; a
+    very long text is held as a few numbers for each of its words. An empty table gives no rows. Columns named like the
+    two results are replaced."""
     import pandas as pd
     from pyspark.sql import types as T
 
