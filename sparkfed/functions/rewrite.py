@@ -54,6 +54,21 @@ def regexp_replace_first(text: Column, pattern: str, to: str) -> Column:
     return F.regexp_replace(text, rf"(?s)^(.*?)(?:{pattern})(.*)$", f"$1{to}$2")
 
 
+def regexp_replace_column(text: Column, pattern: Column, to: Column) -> Column:
+    """The same with a pattern of columns; groups of the pattern keep their numbers' order."""
+    whole = F.concat(F.lit("(?s)^(?<sparkfedpre>.*?)(?:"), pattern, F.lit(")(?<sparkfedpost>.*)$"))
+    return F.call_function("regexp_replace", text, whole, F.concat(F.lit("${sparkfedpre}"), to, F.lit("${sparkfedpost}")))
+
+
+def not_in(rows: DataFrame, key: Column, of: DataFrame, value: Column) -> DataFrame:
+    """rows WHERE key NOT IN (SELECT value FROM of): all rows if `of` has none; none if it holds a null; else those with
+    a key that is not null and not found. An ordinary anti join on distinct values, and two counts."""
+    counts = of.agg(F.count(F.lit(1)).alias("n"), F.count(value).alias("known"))
+    n, known = counts.select("n").scalar(), counts.select("known").scalar()
+    left = rows.join(of.select(value.alias("__sparkfed_v")).where("__sparkfed_v is not null").distinct(), key == F.col("__sparkfed_v"), "left_anti")
+    return left.where((n == 0) | ((n == known) & key.isNotNull()))
+
+
 def log10(c: Column) -> Column:
     """The host's log of one argument has base 10."""
     return F.log10(c)

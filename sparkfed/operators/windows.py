@@ -17,7 +17,9 @@ def by_customer():
 
 @both("SELECT o_orderkey, round(avg(o_totalprice) OVER (PARTITION BY o_orderstatus), 4) AS v FROM orders")
 def win_avg_partition(t: Tables) -> DataFrame:
-    return t.orders.select("o_orderkey", F.round(F.avg("o_totalprice").over(Window.partitionBy("o_orderstatus")), 4).alias("v"))
+    """Three statuses hold all rows: partial averages and a join, where a window would buffer a third of them in a task."""
+    per = t.orders.groupBy(col("o_orderstatus").alias("s")).agg(F.avg("o_totalprice").alias("a"))
+    return t.orders.join(per, col("o_orderstatus").eqNullSafe(col("s"))).select("o_orderkey", F.round("a", 4).alias("v"))
 
 
 @both("SELECT o_orderkey, count(o_custkey) OVER (PARTITION BY o_custkey) AS n FROM orders")

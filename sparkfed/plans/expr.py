@@ -21,9 +21,14 @@ FUNCTIONS = {
     "concat": F.concat, "reverse": F.reverse, "initcap": F.initcap, "ascii": F.ascii, "md5": F.md5, "substr": F.substr, "substring": F.substr, "left": F.left, "right": F.right,
     "strpos": rewrite.strpos, "starts_with": F.startswith, "split_part": F.split_part, "abs": F.abs, "ceil": F.ceil, "floor": F.floor, "sqrt": F.sqrt, "exp": F.exp, "ln": F.log,
     "log": rewrite.log10, "trunc": rewrite.trunc, "power": F.pow, "sign": F.signum, "degrees": F.degrees, "radians": F.radians, "sin": F.sin, "cos": F.cos, "tan": F.tan, "date": F.to_date,
+    "round": lambda a, *n: F.call_function("round", a, *n), "mod": lambda a, b: a % b, "lpad": lambda *a: F.call_function("lpad", *a), "rpad": lambda *a: F.call_function("rpad", *a), "repeat": lambda a, n: F.call_function("repeat", a, n),
+    "coalesce": F.coalesce, "nullif": F.nullif, "greatest": F.greatest, "least": F.least, "regexp_replace": rewrite.regexp_replace_column, "date_trunc": lambda unit, a: F.call_function("date_trunc", unit, a),
+    "year": F.year, "month": F.month, "day": F.day, "quarter": F.quarter, "pi": F.pi,
 }
 #: Their names at the source, where another.
 REMOTE_NAMES = {"btrim": "trim", "strpos": "instr", "starts_with": "startswith", "log": "log10", "date": "to_date"}
+#: Functions that sources lack or give another meaning: never sent.
+LOCAL = {"regexp_replace", "date_trunc", "greatest", "least"}
 #: Not the same for the same arguments.
 MUTABLE = {"random": F.rand, "now": F.current_timestamp, "current_date": F.current_date}
 
@@ -82,7 +87,9 @@ class Op(Expr):
 
     def column(self) -> Column:
         a, b = self.left.column(), self.right.column()
-        like = {"LIKE": lambda: a.like(self.right.value), "ILIKE": lambda: a.ilike(self.right.value), "~": lambda: a.rlike(self.right.value), "~*": lambda: a.rlike("(?i)" + self.right.value)}
+        like = {"LIKE": lambda: F.like(a, b), "ILIKE": lambda: F.ilike(a, b), "~": lambda: F.rlike(a, b), "~*": lambda: F.rlike(a, F.concat(F.lit("(?i)"), b))}
+        if isinstance(self.right, (Const, Param)) and self.right.value is not None:  # a constant pattern can reach the scan
+            like |= {"LIKE": lambda: a.like(self.right.value), "~": lambda: a.rlike(self.right.value), "~*": lambda: a.rlike("(?i)" + self.right.value)}
         if self.op in like:
             return like[self.op]()
         if self.op in ("NOT LIKE", "NOT ILIKE", "!~", "!~*"):
@@ -91,7 +98,7 @@ class Op(Expr):
             "=": lambda: a == b, "<>": lambda: a != b, "<": lambda: a < b, ">": lambda: a > b, "<=": lambda: a <= b, ">=": lambda: a >= b,
             "+": lambda: a + b, "-": lambda: a - b, "*": lambda: a * b, "/": lambda: rewrite.int_div(a, b) if self.whole else a / b, "%": lambda: a % b,
             "||": lambda: F.concat(a, b), "^": lambda: F.pow(a, b), "&": lambda: a.bitwiseAND(b), "|": lambda: a.bitwiseOR(b),
-            "<<": lambda: F.shiftleft(a, self.right.value), ">>": lambda: F.shiftright(a, self.right.value),
+            "<<": lambda: F.call_function("shiftleft", a, b), ">>": lambda: F.call_function("shiftright", a, b),
         }
         return of[self.op]()
 
@@ -123,6 +130,23 @@ class IsNull(Expr):
         return self.arg.column().isNotNull() if self.negated else self.arg.column().isNull()
 
 
+@dataclass(frozen=True)
+class Truth(Expr):
+    """arg IS [NOT] TRUE, FALSE or UNKNOWN: never null."""
+
+    arg: Expr
+    what: str
+    negated: bool = False
+
+    def parts(self) -> tuple[Expr, ...]:
+        return (self.arg,)
+
+    def column(self) -> Column:
+        c = self.arg.column()
+        found = {"TRUE": F.coalesce(c, F.lit(False)), "FALSE": F.coalesce(~c, F.lit(False)), "UNKNOWN": c.isNull()}[self.what]
+        return ~found if self.negated else found
+
+
 @dataclass(frozen=True)
 class Distinct(Expr):
     """left IS [NOT] DISTINCT FROM right."""

@@ -11,10 +11,10 @@ def shippable(e: E.Expr, strict: bool) -> bool:
         return True
     if isinstance(e, E.Op):
         known = e.op in E.COMPARE + E.ARITHMETIC or (not strict and e.op in E.LOOSE)
-    elif isinstance(e, (E.Bool, E.IsNull, E.Distinct)):
+    elif isinstance(e, (E.Bool, E.IsNull, E.Truth, E.Distinct)):
         known = True
     elif isinstance(e, E.Func):
-        known = not strict and e.of is None and e.name in E.FUNCTIONS
+        known = not strict and e.of is None and e.name in E.FUNCTIONS and e.name not in E.LOCAL
     elif isinstance(e, (E.In, E.Array, E.Subscript, E.Cast)):
         known = not strict
     elif isinstance(e, E.Agg):

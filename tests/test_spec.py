@@ -54,6 +54,12 @@ WHOLE = [
     QuerySpec(Join("inner", EMP, DEPT, ON), [(d("dname"), "dname"), (E.Op("*", E.Agg("sum", e("sal")), E.Const(2)), "s")], group=[d("dname")], order=[(d("dname"), True, None)], limit=2),
     spec(order=[(e("comm"), False, None), (e("empno"), False, None)], limit=4, offset=1),
     spec(order=[(E.Op("*", e("sal"), E.Const(-1)), True, True), (e("empno"), False, None)], limit="3"),
+    spec(where=[E.Op("LIKE", e("ename"), E.Func("concat", (E.Func("left", (e("ename"), E.Const(1))), E.Const("%"))))]),
+    spec(where=[E.Op("~*", e("job"), E.Func("upper", (E.Func("left", (e("job"), E.Const(2))),)))]),
+    spec(where=[E.Op("=", E.Op("<<", e("empno"), e("empno")), E.Const(8))]),
+    spec(where=[E.Op("=", E.Func("mod", (e("sal"), E.Const(100))), E.Const(50)), E.Op(">", E.Func("round", (e("sal"), E.Const(-3))), E.Const(0))]),
+    spec(where=[E.Op("=", E.Func("coalesce", (e("mgr"), E.Const(0))), E.Const(0)), E.Op("=", E.Func("lpad", (e("job"), E.Const(2), E.Const("x"))), E.Const("bo"))]),
+    spec(where=[E.Truth(E.Op(">", e("mgr"), E.Const(3)), "TRUE", True), E.Truth(E.Op(">", e("mgr"), E.Const(3)), "UNKNOWN")]),
 ]
 
 
@@ -160,3 +166,9 @@ def test_stats_and_explain(spark, catalog, caplog):
 
 def test_null_parameter_matches_nothing(spark, catalog):
     assert spec(where=[E.Op("=", e("deptno"), E.Param("p", None))]).dataframe(spark, catalog).count() == 0
+
+
+def test_first_match_is_replaced_here(spark, catalog):
+    """regexp_replace means the first match only, which sources do not do: it stays local."""
+    q = spec(where=[E.Op("=", E.Func("regexp_replace", (e("ename"), E.Const("([a-e])"), E.Const("z"))), E.Const("zve"))])
+    assert q.report(catalog, ALL_ON).local == ["filter"] and q.dataframe(spark, catalog).count() == 1
