@@ -75,6 +75,11 @@ OPTIONS: dict[str, tuple[tuple[str, ...], object, Callable]] = {
     "collection_delimiter": (("table",), "$", _text),
     "null_text": (("table",), "NULL", _text),
     "empty_as_null": (("table",), True, _bool),
+    # How a JDBC source is read in parallel: ranges of a number, date or timestamp at the source.
+    "partition_column": (("table",), None, _text),
+    "lower_bound": (("table",), None, _text),
+    "upper_bound": (("table",), None, _text),
+    "num_partitions": (("table",), None, _whole(1, 100_000, "{name} must be between 1 and 100000")),
 }
 
 
@@ -173,6 +178,9 @@ class Catalog:
         out = {n: o[1] for n, o in OPTIONS.items()}
         out |= self._server(t.server).options | t.options | self.mappings.get((t.server, user), self.mappings.get((t.server, "public"), {}))
         out["table_name"] = out["table_name"] or t.name
+        ranges = [out[n] is None for n in ("partition_column", "lower_bound", "upper_bound", "num_partitions")]
+        if any(ranges) and not all(ranges):
+            raise OptionError("partition_column, lower_bound, upper_bound and num_partitions are given together")
         if out["auth_type"] and not out["username"]:
             raise OptionError("a user name is required with auth_type")
         return out

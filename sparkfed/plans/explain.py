@@ -19,7 +19,7 @@ def explain(spark: SparkSession, catalog: Catalog, query: QuerySpec, settings: S
     text = query.report(catalog, settings, explain=True).text(verbose)
     plan = io.StringIO()
     with contextlib.redirect_stdout(plan):
-        query.dataframe(spark, catalog).explain("formatted" if verbose else "simple")
+        query.dataframe(spark, catalog, settings).explain("formatted" if verbose else "simple")
     return f"{text}\n{plan.getvalue()}"
 
 
@@ -28,7 +28,7 @@ def run(spark: SparkSession, catalog: Catalog, query: QuerySpec, settings: Setti
     if any(catalog.resolve(t.name)["log_remote_sql"] for t in query.source.tables()):
         for x in query.report(catalog, settings).remote:
             log.info("Remote SQL: %s", x)
-    return query.dataframe(spark, catalog)
+    return query.dataframe(spark, catalog, settings)
 
 
 def strip_row_locks(sql: str) -> str:

@@ -23,6 +23,27 @@ def jdbc_url(options: dict[str, object]) -> str:
     return url
 
 
+#: Spark's reader writes names in double quotes, which a source must be told to take as names.
+QUOTES = {"hiveserver2": "hive.support.quoted.identifiers=standard", "spark": "spark.sql.ansi.enabled=true;spark.sql.ansi.doubleQuotedIdentifiers=true"}
+
+
+def remote(spark: SparkSession, options: dict[str, object], what: str, ranges: str | None = None) -> DataFrame:
+    """What a JDBC source gives for a table's name or a query in brackets; ranges: the column by whose declared ranges it
+    is read in parallel. Without one, a single task reads it all."""
+    how = {
+        "url": jdbc_url(options) + "?" + QUOTES[options["client_type"]],
+        "driver": "org.apache.hive.jdbc.HiveDriver",
+        "dbtable": what,
+        "fetchsize": str(options["fetch_size"]),
+        "preferTimestampNTZ": "true",
+    }
+    if options["username"]:
+        how |= {"user": options["username"], "password": options["password"] or ""}
+    if ranges:
+        how |= {"partitionColumn": ranges, "lowerBound": options["lower_bound"], "upperBound": options["upper_bound"], "numPartitions": str(options["num_partitions"])}
+    return spark.read.format("jdbc").options(**how).load()
+
+
 def open_source(spark: SparkSession, catalog: Catalog, name: str) -> DataFrame:
     """The table's source under its own column names and types."""
     o, t = catalog.resolve(name), catalog.tables[name]
@@ -32,7 +53,7 @@ def open_source(spark: SparkSession, catalog: Catalog, name: str) -> DataFrame:
         schema = T.StructType([T.StructField(t.remote.get(c, c), T.StringType()) for c, _ in t.columns])
         return spark.read.csv(o["location"], schema=schema, sep=o["delimiter"], nullValue=o["null_text"], emptyValue="", enforceSchema=True)
     if o["format"] == "jdbc":
-        return spark.read.format("jdbc").options(url=jdbc_url(o), dbtable=f"{o['dbname']}.{o['table_name']}", fetchsize=str(o["fetch_size"]), user=o["username"] or "", password=o["password"] or "").load()
+        return remote(spark, o, f"{o['dbname']}.{o['table_name']}", o["partition_column"])
     return spark.table(f"{o['dbname']}.{o['table_name']}" if o["dbname"] != "default" else o["table_name"])
 
 
@@ -42,8 +63,8 @@ def open_table(spark: SparkSession, catalog: Catalog, name: str) -> DataFrame:
     empty = catalog.resolve(name)["empty_as_null"]
     out = []
     for c, declared in t.columns:
-        remote = t.remote.get(c, c)
-        out.append(coerced(F.col(f"`{remote}`"), source.schema[remote].dataType, declared, empty).alias(c))
+        own = t.remote.get(c, c)
+        out.append(coerced(F.col(f"`{own}`"), source.schema[own].dataType, declared, empty).alias(c))
     return source.select(*out)
 
 
