@@ -19,6 +19,8 @@ _state: dict = {}
 _made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 #: Whether Spark removes a query's shuffle files when it ends.
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Rows that Spark hands to a Python worker at once.
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def by_value(name: str) -> None:
@@ -96,22 +98,25 @@ def _drop(spark: SparkSession, path: str) -> None:
         pass
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, batch: int | None = None) -> DataFrame:
     """Write df once to the shared folder and read it back: lineage is cut, and a lost executor loses nothing.
 
     The write's shuffle files go as soon as it is done. The result's own files stay until free(), the end of a settled()
-    call or the end of the process."""
+    call or the end of the process. batch: rows that a Python worker gets at once, where they are whole texts."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/sparkfed/{uuid.uuid4().hex}"
-    before = spark.conf.get(CLEAN_UP, None)
-    spark.conf.set(CLEAN_UP, "true")
+    own = {CLEAN_UP: "true"} | ({BATCH: str(batch)} if batch else {})
+    before = {k: spark.conf.get(k, None) for k in own}
+    for k, v in own.items():
+        spark.conf.set(k, v)
     try:
         df.write.option("compression", "zstd").parquet(path)
     finally:
-        if before is None:
-            spark.conf.unset(CLEAN_UP)
-        else:
-            spark.conf.set(CLEAN_UP, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     atexit.register(_drop, spark, path)
     made = _made.get()
     if made is not None:

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value, materialise, worker_cache
+from .common import by_value, give_back, materialise, worker_cache
 
 #: How a byte-level tokenizer cuts a text before it merges: a fixed value.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -214,6 +214,8 @@ def pieces(docs: DataFrame, path: str, capacity: int, end_id: int) -> DataFrame:
                 out = pd.DataFrame(rows, columns=["row", "piece", "start", "length", "ids_crc32"])
                 out.insert(0, "doc_id", part["doc_id"].iloc[out.pop("row").to_numpy()].reset_index(drop=True))
                 yield out
+            b = part = None
+            give_back()
 
     return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
@@ -225,7 +227,7 @@ def pack(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2, salt
     text is encoded whole, then cut; an empty table gives no rows; further columns are ignored."""
     from pyspark.sql import Window
 
-    items = materialise(pieces(docs, path, capacity, end_id))
+    items = materialise(pieces(docs, path, capacity, end_id), batch=1000)
     counts = {r["length"]: r["n"] for r in items.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `capacity` rows
     at = places(solve(counts, capacity))
     salts = F.get(F.array(*(F.lit(max(1, -(-counts.get(s, 0) // salt_rows))) for s in range(capacity + 1))), F.col("length").cast("int"))
