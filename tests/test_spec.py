@@ -172,3 +172,15 @@ def test_first_match_is_replaced_here(spark, catalog):
     """regexp_replace means the first match only, which sources do not do: it stays local."""
     q = spec(where=[E.Op("=", E.Func("regexp_replace", (e("ename"), E.Const("([a-e])"), E.Const("z"))), E.Const("zve"))])
     assert q.report(catalog, ALL_ON).local == ["filter"] and q.dataframe(spark, catalog).count() == 1
+
+
+def test_limit_of_an_expression(spark, catalog):
+    two_more = E.Op("+", E.Const(1), E.Op("*", E.Const(1), E.Param("p", 1)))
+    q = spec(order=[(e("empno"), False, None)], limit=two_more, offset=E.Op("-", E.Const(3), E.Const(2)))
+    assert [r["empno"] for r in q.dataframe(spark, catalog).collect()] == [2, 3]
+    assert "LIMIT 2 OFFSET 1" in q.report(catalog, ALL_ON).remote[0]
+    assert normalise(E.Op("+", E.Const(1), E.Const(None))) is None
+    with pytest.raises(ValueError, match="variables"):
+        normalise(e("empno"))
+    with pytest.raises(ValueError, match="negative"):
+        normalise(E.Op("-", E.Const(1), E.Const(2)), "OFFSET")
