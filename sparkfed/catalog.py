@@ -97,6 +97,7 @@ def validate(scope: str, options: dict[str, str]) -> dict[str, object]:
 class Server:
     name: str
     options: dict = field(default_factory=dict)
+    owner: str = "public"
 
 
 @dataclass
@@ -108,6 +109,7 @@ class ForeignTable:
     columns: list[tuple[str, str]]
     options: dict = field(default_factory=dict)
     remote: dict[str, str] = field(default_factory=dict)
+    owner: str = "public"
 
 
 class Catalog:
@@ -138,7 +140,31 @@ class Catalog:
     def alter(self, scope: str, name: str, add: dict | None = None, set_: dict | None = None, drop: list[str] | None = None) -> None:
         """ALTER ... OPTIONS (ADD, SET, DROP) of a server or a table."""
         owner = self._server(name) if scope == "server" else self._table(name)
-        own = dict(owner.options)
+        owner.options = self._altered(scope, owner.options, add, set_, drop)
+
+    def alter_user_mapping(self, server: str, user: str = "public", add: dict | None = None, set_: dict | None = None, drop: list[str] | None = None) -> None:
+        self.mappings[server, user] = self._altered("user", self._mapping(server, user), add, set_, drop)
+
+    def drop_user_mapping(self, server: str, user: str = "public") -> None:
+        self._mapping(server, user)
+        del self.mappings[server, user]
+
+    def set_owner(self, scope: str, name: str, to: str) -> None:
+        (self._server(name) if scope == "server" else self._table(name)).owner = to
+
+    def rename_server(self, name: str, to: str) -> None:
+        s = self._server(name)
+        if to in self.servers:
+            raise OptionError(f'server "{to}" already exists')
+        self.servers[to] = replace(s, name=to)
+        del self.servers[name]
+        for t in self.tables.values():
+            t.server = to if t.server == name else t.server
+        self.mappings = {(to if n == name else n, user): o for (n, user), o in self.mappings.items()}
+
+    @staticmethod
+    def _altered(scope: str, options: dict, add: dict | None, set_: dict | None, drop: list[str] | None) -> dict:
+        own = dict(options)
         for n in add or {}:
             if n in own:
                 raise OptionError(f'option "{n}" provided more than once')
@@ -146,7 +172,7 @@ class Catalog:
             if n not in own:
                 raise OptionError(f'option "{n}" not found')
         own |= validate(scope, {**(add or {}), **(set_ or {})})
-        owner.options = {k: v for k, v in own.items() if k not in (drop or [])}
+        return {k: v for k, v in own.items() if k not in (drop or [])}
 
     def rename_table(self, name: str, to: str) -> None:
         t = self._table(name)
@@ -194,3 +220,9 @@ class Catalog:
         if name not in self.tables:
             raise OptionError(f'relation "{name}" does not exist')
         return self.tables[name]
+
+    def _mapping(self, server: str, user: str) -> dict:
+        self._server(server)
+        if (server, user) not in self.mappings:
+            raise OptionError(f'user mapping for "{user}" does not exist for server "{server}"')
+        return self.mappings[server, user]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.percentile import percentile_cont
 from ..functions.rewrite import array_agg, filtered, hypothetical_rank
 from ..plans.registry import Tables, both, same_text
 
@@ -94,10 +95,10 @@ def agg_grouping_plain(t: Tables) -> DataFrame:
     return t.nation.groupBy("n_regionkey").agg(lit(0).cast("bigint").alias("g"), F.count(lit(1)).alias("n"))
 
 
-same_text(
-    "agg_percentile_cont",
-    "SELECT c_mktsegment, round(percentile_cont(0.5) WITHIN GROUP (ORDER BY c_acctbal), 4) AS med, round(percentile_cont(0.25) WITHIN GROUP (ORDER BY c_acctbal), 4) AS q1 FROM {customer} GROUP BY c_mktsegment",
-)
+@both("SELECT c_mktsegment, round(percentile_cont(0.5) WITHIN GROUP (ORDER BY c_acctbal), 4) AS med, round(percentile_cont(0.25) WITHIN GROUP (ORDER BY c_acctbal), 4) AS q1 FROM customer GROUP BY c_mktsegment")
+def agg_percentile_cont(t: Tables) -> DataFrame:
+    found = percentile_cont(t.customer, ["c_mktsegment"], "c_acctbal", {"med": 0.5, "q1": 0.25})
+    return found.select("c_mktsegment", F.round("med", 4).alias("med"), F.round("q1", 4).alias("q1"))
 
 
 @both("SELECT c_mktsegment, (SELECT count(*) FROM customer b WHERE b.c_mktsegment = a.c_mktsegment AND b.c_acctbal < 1234.5) + 1 AS r FROM customer a GROUP BY c_mktsegment")

@@ -35,3 +35,15 @@ def estimated_rows(spark: SparkSession, catalog: Catalog, name: str) -> int:
     size, rows = plan_stats(open_table(spark, catalog, name))
     width = 8 * len(catalog.tables[name].columns) + 20
     return max(LEAST_ROWS, rows if rows is not None else size // width)
+
+
+def vacuum(spark: SparkSession, catalog: Catalog, name: str, analyze_too: bool = False) -> None:
+    """VACUUM [FULL | FREEZE | ANALYZE]: accepted for a known table, and no work, since rows lie at the source."""
+    catalog.resolve(name)
+    if analyze_too:
+        analyze(spark, catalog, name)
+
+
+def sample_rows(spark: SparkSession, catalog: Catalog, name: str, fraction: float, seed: int = 0) -> DataFrame:
+    """A Bernoulli sample of a table's rows, taken where they are read."""
+    return open_table(spark, catalog, name).sample(False, fraction, seed)

@@ -48,6 +48,31 @@ def test_alter_and_drop():
     assert not c.tables
 
 
+def test_user_mappings_owners_and_server_names():
+    c = Catalog()
+    c.create_server("s")
+    c.create_table("t", "s", [("a", "int")])
+    with pytest.raises(OptionError, match="does not exist"):
+        c.alter_user_mapping("s", add={"username": "u"})
+    c.create_user_mapping("s", username="u")
+    c.alter_user_mapping("s", add={"password": "p"}, set_={"username": "w"})
+    assert (c.resolve("t")["username"], c.resolve("t")["password"]) == ("w", "p")
+    with pytest.raises(OptionError, match="valid options for a user"):
+        c.alter_user_mapping("s", add={"host": "h"})
+    c.rename_server("s", "far")
+    assert c.tables["t"].server == "far" and c.resolve("t")["username"] == "w"
+    c.create_server("s")
+    with pytest.raises(OptionError, match="already exists"):
+        c.rename_server("s", "far")
+    c.set_owner("server", "far", "ann")
+    c.set_owner("table", "t", "bob")
+    assert (c.servers["far"].owner, c.tables["t"].owner) == ("ann", "bob")
+    c.drop_user_mapping("far")
+    assert c.resolve("t")["username"] is None
+    with pytest.raises(OptionError, match="does not exist"):
+        c.drop_user_mapping("far")
+
+
 @pytest.mark.parametrize("name", ["money", "inet", "point", "json", "interval", "int[]", "circle"])
 def test_unsupported(name):
     with pytest.raises(UnsupportedTypeError):

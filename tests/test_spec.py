@@ -12,7 +12,7 @@ from sparkfed.plans import expr as E
 from sparkfed.plans.explain import explain, rewrite_quantified, run, strip_row_locks
 from sparkfed.plans.shippable import shippable
 from sparkfed.plans.spec import Join, QuerySpec, Table
-from sparkfed.plans.stats import analyze, estimated_rows, size_in_bytes
+from sparkfed.plans.stats import analyze, estimated_rows, sample_rows, size_in_bytes, vacuum
 from sparkfed.settings import Settings
 
 e = lambda n: E.Col("e", n)
@@ -184,3 +184,35 @@ def test_limit_of_an_expression(spark, catalog):
         normalise(e("empno"))
     with pytest.raises(ValueError, match="negative"):
         normalise(E.Op("-", E.Const(1), E.Const(2)), "OFFSET")
+
+
+def test_bare_parameter_keeps_an_aggregate_local(catalog):
+    q = QuerySpec(EMP, [(e("job"), "job"), (E.Param("p", 3), "p"), (E.Agg("count"), "n")], group=[e("job")])
+    assert "aggregate" in q.report(catalog).local
+    inside = QuerySpec(EMP, [(e("job"), "job"), (E.Op("+", E.Agg("sum", e("sal")), E.Param("p", 3)), "s")], group=[e("job")])
+    assert "aggregate" in inside.report(catalog).pushed
+
+
+def test_joins_across_servers():
+    from sparkfed.catalog import Catalog
+
+    c = Catalog()
+    for server, kind in (("a", "spark"), ("b", "spark"), ("h", "hiveserver2")):
+        c.create_server(server, client_type=kind)
+        c.create_table("t" + server, server, [("k", "int")])
+    joined = lambda x, y: QuerySpec(Join("inner", Table(x, "x"), Table(y, "y"), (E.Op("=", E.Col("x", "k"), E.Col("y", "k")),)), [(E.Col("x", "k"), "k")])
+    assert "join (different servers)" in joined("ta", "tb").report(c).local
+    with pytest.raises(ValueError, match="client_type"):
+        joined("ta", "th").report(c)
+
+
+def test_right_lateral_is_an_error(spark):
+    with pytest.raises(Exception):
+        spark.sql("SELECT * FROM VALUES (1) a(x) RIGHT JOIN LATERAL (SELECT a.x + 1 AS y) b ON true").collect()
+
+
+def test_vacuum_and_samples(spark, catalog):
+    assert vacuum(spark, catalog, "emp", analyze_too=True) is None
+    with pytest.raises(ValueError, match="does not exist"):
+        vacuum(spark, catalog, "nowhere")
+    assert sample_rows(spark, catalog, "emp", 1.0).count() == 6 and sample_rows(spark, catalog, "emp", 0.0).count() == 0
