@@ -388,7 +388,7 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
                     del s
                     yield pd.DataFrame(rows, columns=["part", "chunk", "meta", "bytes"])
 
-    sorted_ = materialise(chunks.select("chunk", "ids", "sizes", "text").join(back, "chunk", "left").mapInPandas(local, fields))
+    sorted_ = materialise(chunks.select("chunk", "ids", "sizes", "text").join(back.hint("merge"), "chunk", "left").mapInPandas(local, fields))
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
         import zstandard
@@ -435,7 +435,7 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     if held.isEmpty():
         marks = marks.withColumn("hot", F.lit(None).cast("array<struct<at:bigint,count:bigint>>"))
     else:
-        marks = marks.join(materialise(hot_marks(held, length)), "chunk", "full")
+        marks = marks.join(materialise(hot_marks(held, length)).hint("merge"), "chunk", "full")
     free(held)
 
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
@@ -479,25 +479,26 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
                     rest = rest.append_column(name, x)
                 yield from rest.to_batches(max_chunksize=2000)
 
-    return chunks.drop("ids", "n").join(marks, "chunk", "left").mapInArrow(cut, schema)
+    return chunks.drop("ids", "n").join(marks.hint("merge"), "chunk", "left").mapInArrow(cut, schema)
 
 
 def hot_marks(held: DataFrame, length: int) -> DataFrame:
     """(chunk, hot): places and counts of strings that repeat earlier ones, among runs of hot anchors.
 
     Content meets content: of equal runs, and then of equal strings of the runs left, all but the earliest are marked.
-    Minima are aggregated before the shuffle; the joins back are plain ones, which adaptive execution splits where one
-    content is hot."""
+    Minima are aggregated before the shuffle; the joins back are merge joins, which adaptive execution splits where one
+    content is hot. Left to itself Spark would broadcast by the size of compressed files: it counts no string that
+    explode makes, and the driver would hold them all."""
     place = F.struct("id", "off", "chunk", "at")
     same = ["key", "anchor", "bytes"]
     first = materialise(held.groupBy(*same, "count").agg(F.min(place).alias("first")))
-    again = held.join(first.drop("count"), same).where(place > F.col("first")).select("chunk", "at", "count")
+    again = held.join(first.drop("count").hint("merge"), same).where(place > F.col("first")).select("chunk", "at", "count")
     several = first.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    left = first.join(several, "key", "left_semi").select("first", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)).alias("i"))
+    left = first.join(several.hint("merge"), "key", "left_semi").select("first", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)).alias("i"))
     string = F.substring(F.col("bytes"), F.col("i").cast("int") + 1, F.lit(length)).alias("string")
     left = left.select(string, F.struct("first.id", (F.col("first.off") + F.col("i")).alias("off"), "first.chunk", (F.col("first.at") + F.col("i")).alias("at")).alias("place"))
     low = left.groupBy("string").agg(F.min("place").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    single = left.join(low, "string").where("place > low").select("place.chunk", "place.at", F.lit(1).cast("long").alias("count"))
+    single = left.join(low.hint("merge"), "string").where("place > low").select("place.chunk", "place.at", F.lit(1).cast("long").alias("count"))
     return again.union(single).groupBy("chunk").agg(F.collect_list(F.struct("at", "count")).alias("hot"))
 
 

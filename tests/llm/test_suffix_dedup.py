@@ -88,3 +88,15 @@ def test_characters_stay_whole(spark):
     got = suffix_dedup.rewrite(spark.createDataFrame([(1, "x" + a), (2, "y" + b)], "doc_id long, text string")).collect()
     assert {r["doc_id"]: r["text"] for r in got}[2] == "y"
     assert hashlib.sha256(got[0]["text"].encode()).digest()
+
+
+def test_joins_are_not_broadcast(spark):
+    """Near copies of hot passages: small files hold many strings, which a broadcast would gather on the driver."""
+    rng = random.Random(4)
+    lines = [("".join(rng.choice("abcd ") for _ in range(60)), "".join(rng.choice("abcd ") for _ in range(60))) for _ in range(20)]
+    rows = [(i, "\n".join(f"{a} {rng.randrange(3)} {b}" for a, b in lines)) for i in range(40)]
+    found = suffix_dedup.removed(spark.createDataFrame(rows, "doc_id long, text string"), chunk=2000, hot=3)
+    assert {r["doc_id"]: bytes(r["kept"]) for r in found.collect()} == {i: x[3] for i, x in brute(dict(rows), 100).items()}
+    held = spark.createDataFrame([(1, i, 0, 0, 0, 1, i, b"x" * 100) for i in range(9)], "key long, id long, off long, at long, anchor long, count long, chunk long, bytes binary")
+    for df in (found, suffix_dedup.hot_marks(held, 100)):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
