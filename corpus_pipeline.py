@@ -3,7 +3,8 @@
 toxicity            documents with a toxic score of 0.5 or more go
 line_dedup          lines that repeat earlier ones, exactly or but for one word, go; documents stay
 simhash_near_dedup  one document, that of the smallest id, stays of each near-duplicate group (texts whose sets of
-                    five-word shingles have a similarity of 0.8 or more, verified exactly)
+                    five-word shingles have a similarity of 0.8 or more, verified exactly; candidates are linked by
+                    SimHash within 4 bits, or share least shingles, which finds what SimHash's radius leaves out)
 suffix_dedup        passages of 100 bytes or more that occur earlier go; documents stay
 packing             what is left is packed into sequences of 1024 tokens
 

@@ -12,10 +12,10 @@ refined with the same construction over the positions its mask hides (32, then 1
 has at most 256 values), so hot buckets cost a factor of 30, not a square. A bucket gives links to its components'
 smallest members, at most one for each fingerprint.
 
-keep_first has another bound: a similarity of 0.8 of the sets of shingles. There SimHash distances are about ten bits,
-and no covering is small. So it takes several fingerprints of a text, each of the least shingles under ROWS
-permutations; texts of similarity s share one of BANDS with probability 1 - (1 - s^ROWS)^BANDS (0.994 at 0.8). Pairs
-that share one are compared by their shingles, exactly.
+keep_first has another bound: a similarity of 0.8 of the sets of shingles. Its candidates are the groups that SimHash
+links, found as above and complete, and more: at 0.8 SimHash distances are about ten bits, where no covering is small.
+So a text also has several fingerprints of the least shingles under ROWS permutations; texts of similarity s share one
+of BANDS with probability 1 - (1 - s^ROWS)^BANDS (0.994 at 0.8). Candidates are compared by their shingles, exactly.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from .common import by_value, components, materialise
 RADIUS = 4
 BUCKET = 512
 SEED = 42
-#: keep_first: the least similarity of near copies, and the fingerprints a text has: BANDS of ROWS minima each.
+#: keep_first: the least similarity of near copies, and the fingerprints a text has besides SimHash: BANDS of ROWS minima.
 SIMILAR = 0.8
 ROWS, BANDS = 7, 22
 
@@ -42,28 +42,39 @@ def masks(positions: list[int], radius: int = RADIUS) -> list[int]:
     return [sum(1 << p for p in positions if (label[p] & v).bit_count() % 2) for v in range(1, 2 * top) if v != top]
 
 
-def fingerprint(text: str | None, shingle: int = 4) -> int:
-    """The unsigned 64-bit SimHash: a bit is set if it is set in over half the shingles' XXH64 values. No words: zero."""
+def shingle_hashes(text: str | None, shingle: int):
+    """The shingles' XXH64 values, repeats included; none for a text without words."""
     import numpy as np
     import xxhash
 
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     hashed = xxhash.xxh64_intdigest
-    if len(words) <= shingle:
-        return hashed(b" ".join(words), SEED)
     joined = b" ".join(words)
+    if len(words) <= shingle:
+        return np.array([hashed(joined, SEED)], np.uint64)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     starts = np.concatenate(([0], ends[:-1]))[: len(words) - shingle + 1].tolist()
     stops = (ends[shingle - 1 :] - 1).tolist()
+    return np.fromiter((hashed(joined[a:b], SEED) for a, b in zip(starts, stops)), np.uint64, len(starts))
+
+
+def majority(hashes) -> int:
+    """The bits that are set in over half the values."""
+    import numpy as np
+
     count = np.zeros(64, np.int64)
-    for at in range(0, len(starts), 65536):  # bounded memory, whole text
-        h = np.array([hashed(joined[a:b], SEED) for a, b in zip(starts[at : at + 65536], stops[at : at + 65536])], np.uint64)
-        bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    for at in range(0, len(hashes), 65536):  # bounded memory, whole text
+        bits = np.unpackbits(hashes[at : at + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         for part in range(0, len(bits), 255):  # sums of 255 bits fit a byte
             count += bits[part : part + 255].sum(axis=0, dtype=np.uint8)
-    return sum(1 << i for i, x in enumerate((2 * count > len(starts)).tolist()) if x)
+    return sum(1 << i for i, x in enumerate((2 * count > len(hashes)).tolist()) if x)
+
+
+def fingerprint(text: str | None, shingle: int = 4) -> int:
+    """The unsigned 64-bit SimHash: a bit is set if it is set in over half the shingles' XXH64 values. No words: zero."""
+    return majority(shingle_hashes(text, shingle))
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -184,14 +195,17 @@ def near_groups(docs: DataFrame, shingle: int = 4, radius: int = RADIUS, bucket:
     return fp.join(of, "fp").select(F.col("id").alias(id_col), "fp", "component_id", "n_links")
 
 
-def shingles(text: str | None, shingle: int = 5):
-    """The distinct XXH64 values of the shingles, sorted; a text of fewer words is one shingle."""
+def distinct_shingles(hashes):
+    """shingle_hashes() once each, sorted; of a text without words the empty sequence's."""
     import numpy as np
     import xxhash
 
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    n = max(1, len(words) - shingle + 1)
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(b" ".join(words[i : i + shingle]), SEED) for i in range(n)), np.uint64, n))
+    return np.unique(hashes) if len(hashes) else np.array([xxhash.xxh64_intdigest(b"", SEED)], np.uint64)
+
+
+def shingles(text: str | None, shingle: int = 5):
+    """The distinct XXH64 values of the shingles, sorted; a text of fewer words is one shingle."""
+    return distinct_shingles(shingle_hashes(text, shingle))
 
 
 def similarity(a, b) -> float:
@@ -221,7 +235,7 @@ def band_keys(own, odd) -> list[int]:
 
 
 def sketches(docs: DataFrame, shingle: int) -> DataFrame:
-    """Rows (id, text, node, n, keys): node is a digest of the set of shingles, n its size."""
+    """Rows (id, text, node, n, fp, keys): node is a digest of the set of shingles, n its size, fp the SimHash."""
     import pandas as pd
 
     def run(batches: Iterator) -> Iterator:
@@ -231,12 +245,14 @@ def sketches(docs: DataFrame, shingle: int) -> DataFrame:
         for b in batches:
             for i in range(0, len(b), 1000):
                 part = b.iloc[i : i + 1000]
-                sets = [shingles(t, shingle) for t in part["text"]]
+                every = [shingle_hashes(t, shingle) for t in part["text"]]
+                fp = pd.array([x - (x >> 63 << 64) for x in map(majority, every)], dtype="int64")
+                sets = [distinct_shingles(h) for h in every]
                 keys = pd.Series([band_keys(s, odd) for s in sets], index=part.index, dtype=object)
-                yield part.assign(node=[xxhash.xxh3_128_digest(s.tobytes()) for s in sets], n=[len(s) for s in sets], keys=keys)
+                yield part.assign(node=[xxhash.xxh3_128_digest(s.tobytes()) for s in sets], n=[len(s) for s in sets], fp=fp, keys=keys)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select(F.col("doc_id").alias("id"), "text").mapInPandas(run, f"id {kind}, text string, node binary, n long, keys array<long>")
+    return docs.select(F.col("doc_id").alias("id"), "text").mapInPandas(run, f"id {kind}, text string, node binary, n long, fp long, keys array<long>")
 
 
 def similar(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
@@ -261,12 +277,17 @@ def similar(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) -> D
 def similar_groups(docs: DataFrame, shingle: int = 5, least: float = SIMILAR) -> DataFrame:
     """Rows (id, component_id): the smallest id reachable over pairs of texts of similarity `least` or more.
 
-    Pairs are candidates if they meet in a band. Of each bucket all members are first compared with its smallest one;
+    Pairs are candidates if their SimHash fingerprints are linked within RADIUS bits, as in near_groups, or if they meet
+    in a band of least shingles. A group of linked fingerprints is a bucket like those of the bands. Of each bucket all members are first compared with its smallest one;
     then all pairs of members that are still in different components are compared, unless their sizes rule it out. So
     copies of one text never meet as pairs, and no pair of a bucket that matters is left out."""
     rows = materialise(sketches(docs, shingle))
     distinct = materialise(rows.groupBy("node").agg(F.min("id").alias("low"), F.first("n").alias("n"), F.first("keys").alias("keys")))
-    bands = distinct.select("node", "n", F.explode("keys").alias("key"))
+    prints = materialise(rows.select("node", "n", "fp").distinct())  # repeats count: texts of one set can differ in fp
+    tied = materialise(links(prints.select("fp").distinct()))
+    grouped = prints.join(components(tied).withColumnRenamed("node", "fp"), "fp", "left")
+    grouped = grouped.select("node", "n", F.xxhash64(F.lit("simhash"), F.coalesce("root", "fp")).alias("key")).distinct()
+    bands = distinct.select("node", "n", F.explode("keys").alias("key")).union(grouped)
     shared = bands.groupBy("key").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("m")).where("m > 1").select("key", "b")
     bands = materialise(bands.join(shared, "key"))
     texts = materialise(rows.join(bands.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")))

@@ -112,3 +112,18 @@ def test_keep_first_at_the_bound(spark):
     want = {i for i, r in enumerate(root) if i == r}
     assert want <= kept and len(kept - want) <= 0.03 * (len(rows) - len(want))
     assert 60 < len(want) < 200
+
+
+def test_keep_first_links_by_simhash(spark):
+    """Near copies that only their SimHash fingerprints bring together: no band of least shingles is shared."""
+    rows = []
+    for seed in (1486, 30277):
+        rng = random.Random(seed)
+        own = [f"w{rng.randrange(10**6)}" for _ in range(14)]
+        a, b = " ".join(own), " ".join([*own[:-1], f"x{rng.randrange(10**6)}"])
+        assert near(simhash.fingerprint(a, 5), simhash.fingerprint(b, 5)) <= 4
+        x, y = simhash.shingles(a), simhash.shingles(b)
+        assert simhash.similarity(x, y) >= 0.8 and not set(simhash.band_keys(x, simhash.multipliers())) & set(simhash.band_keys(y, simhash.multipliers()))
+        rows += [(len(rows), a), (len(rows) + 1, b)]
+    rows.append((4, " ".join(f"y{i}" for i in range(14))))
+    assert sorted(r["doc_id"] for r in simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()) == [0, 2, 4]
