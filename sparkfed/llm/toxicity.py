@@ -134,14 +134,18 @@ def fit(texts: list[str], toxic: list[int], weight: list[float], rounds: int = 3
     rows = np.repeat(np.arange(words, dtype=np.int32), per)
     starts = np.concatenate(([0], np.cumsum(per)))
     seen = np.zeros((2, len(names)))
-    for d, lab in zip(docs, toxic):
+    part = np.arange(len(docs)) % 4 != 3  # the last quarter is for the document's score: neither tags nor chain see it
+    for d, lab in ((d, lab) for d, lab, use in zip(docs, toxic, part) if use):
         u = np.unique(d)
         f = np.unique(np.concatenate([cols[starts[i] : starts[i + 1]] for i in u])) if len(u) else u
         seen[int(lab), f] += 1
-    total = np.array([len(y) - y.sum(), y.sum()])
-    # tags: what toxic texts hold, in five of them at least, and others hardly
+    total = np.array([(y[part] == 0).sum(), y[part].sum()])
+    # tags: what toxic texts hold, in five of them at least, and others hardly, beyond what chance gives among so many
     odds = np.log((seen[1] + 0.5) / (total[1] + 1)) - np.log((seen[0] + 0.5) / (total[0] + 1))
-    known = (seen[1] >= 5) & (odds >= 2.5) & (seen[1] >= 8 * seen[0] * total[1] / total[0])
+    known = (seen[1] >= 5) & (odds >= 2.5) & (seen[1] * total[0] >= 8 * seen[0] * total[1])
+    both, rate = np.maximum(seen.sum(0), 1), total / total.sum()
+    surprise = sum(x * np.log(np.maximum(x, 1e-9) / np.maximum(both * r, 1e-9)) for x, r in zip(seen, rate))
+    known &= surprise >= np.log(max(1, (seen.sum(0) >= 5).sum()))
     if not known.any():
         known = (seen[1] >= 2) & (odds >= 2.0)
     lively = seen.sum(0) >= 3
@@ -150,7 +154,6 @@ def fit(texts: list[str], toxic: list[int], weight: list[float], rounds: int = 3
     def emission(theta, bias):
         return np.bincount(rows, theta[cols], words) + bias
 
-    part = np.arange(len(docs)) % 4 != 3  # the last quarter is for the document's score
     pieces = [d[i : i + SEGMENT] for d, use in zip(docs, part) if use for i in range(0, len(d), SEGMENT)]
     tags = [tagged[d[i : i + SEGMENT]] & bool(lab) for d, use, lab in zip(docs, part, toxic) if use for i in range(0, len(d), SEGMENT)]
     if not pieces:

@@ -69,3 +69,20 @@ def test_spans_where_lower_case_splits_words(spark):
     (row,) = toxicity.score(frame(spark, [(1, text, "en", "a")]), model).collect()
     found = " ".join(text[s["start"] : s["end"]] for s in row["toxic_spans"])
     assert all(w in found for w in ("vile", "Rotten", "GRIMFOUL")) and "İstanbul" not in found
+
+
+def test_rare_words_are_no_tags():
+    """Among very many rare words some occur in toxic texts alone by chance; texts that the fit did not see tell."""
+    rng = random.Random(6)
+    rare = ["".join(rng.choices("abcdefghijklmnopqrstuvw", k=9)) for _ in range(33_000)]
+    bad = ["z" + "".join(rng.choices("abcdef", k=7)) for _ in range(10)]
+
+    def text(toxic):
+        return " ".join(rng.sample(rng.choices(rare, k=200) + rng.choices(bad, k=3 * toxic), 200 + 3 * toxic))
+
+    y = [int(i % 5 < 2) for i in range(1000)]
+    rng.shuffle(y)
+    model = toxicity.fit([text(t) for t in y], y, [1.0] * len(y))
+    clean = toxicity.score_batch([text(0) for _ in range(300)], model, False)[0]
+    toxic = toxicity.score_batch([text(1) for _ in range(300)], model, False)[0]
+    assert np.mean(np.array(clean) < 0.5) > 0.98 and np.mean(np.array(toxic) >= 0.5) > 0.95
