@@ -14,8 +14,11 @@ Words under the floor, and unseen ones, have one of TAILS classes by their last
 
     p(word | previous word) = p(class | context of the previous word) * p(word | class)
 
-The context is the class for the core's words, and the tail class for all others: so the counts of step 2 stay right
-while its words move, and a round's gain is the exact gain of one word's move. Transitions are smoothed towards the
+While classes are sought, the context is the class for the core's words, and the tail class for all others: so the counts
+of step 2 stay right while its words move, and a round's gain is the exact gain of one word's move. With class_context,
+as in op1, class bigrams are then counted anew over all texts with every word's own class as the context too, whether it
+is of the core, of step 2 or a tail class; for that, hashes and classes of step 2's words beside the HEAD (10 bytes each)
+go to the workers. Transitions are smoothed towards the
 classes' own frequencies; emissions of the tail classes keep room for one unseen word each, so probabilities of all
 words, with one unseen in each tail class, sum to one.
 
@@ -108,19 +111,21 @@ def count_pairs(docs: DataFrame, core: list[bytes], tails: int) -> DataFrame:
 
         of = Symbols(core, tails)
         start = of[END]
-        codes, counts, held = [], [], 0
+        codes, held, out = [], 0, np.zeros(size * size, np.int64)  # 36 MB, whatever the texts
         for b in batches:
             for t in b["text"]:
                 s = np.fromiter(map(of.__getitem__, tokens(t)), np.int64)
                 codes.append(np.concatenate(([start], s[:-1])) * size + s)
                 held += len(s)
                 if held > 2_000_000:
-                    u, n = np.unique(np.concatenate(codes), return_counts=True)
-                    yield pd.DataFrame({"code": u, "n": n})
+                    out += np.bincount(np.concatenate(codes), minlength=len(out))
                     codes, held = [], 0
         if codes:
-            u, n = np.unique(np.concatenate(codes), return_counts=True)
-            yield pd.DataFrame({"code": u, "n": n})
+            out += np.bincount(np.concatenate(codes), minlength=len(out))
+        u = np.nonzero(out)[0]
+        for at in range(0, len(u), 500_000):
+            part = u[at : at + 500_000]
+            yield pd.DataFrame({"code": part, "n": out[part]})
 
     return docs.select("text").mapInPandas(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
@@ -363,6 +368,74 @@ def merge_contexts(found: DataFrame, floor: int) -> DataFrame:
     return found.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(run, "h long, t int, n long, blob binary, class int")
 
 
+class Own(dict):
+    """word -> its own class: of known words and clustered ones theirs, else the tail class."""
+
+    def __init__(self, known: dict[bytes, int], near: tuple, classes: int, tails: int):
+        super().__init__(known)
+        self.hashes, self.found, self.classes, self.tails, self.fixed = *near, classes, tails, len(known)
+
+    def __missing__(self, word: bytes) -> int:
+        from xxhash import xxh64_intdigest
+
+        s = self.classes + tail_class(word, self.tails)
+        if len(self.hashes):
+            h = xxh64_intdigest(word, 42)
+            h -= h >> 63 << 64
+            i = int(self.hashes.searchsorted(h))
+            if i < len(self.hashes) and self.hashes[i] == h:
+                s = int(self.found[i])
+        if len(self) < self.fixed + 300_000:
+            self[word] = s
+        return s
+
+
+def clustered(rows: DataFrame) -> tuple:
+    """Sorted hashes and the classes of merge_contexts()' words that have one: 10 bytes a word, of those over the floor."""
+    import numpy as np
+
+    got = rows.where(F.col("class").isNotNull()).select("h", F.col("class").cast("short").alias("class")).toArrow()
+    h, cls = got["h"].to_numpy(), got["class"].to_numpy()
+    order = np.argsort(h)
+    return h[order], cls[order]
+
+
+def beside(near: tuple, words: list[bytes]) -> tuple:
+    """near without the given words."""
+    import numpy as np
+    from xxhash import xxh64_intdigest
+
+    left = ~np.isin(near[0], np.array([xxh64_intdigest(w, 42) for w in words], np.uint64).view(np.int64))
+    return near[0][left], near[1][left]
+
+
+def class_pairs(docs: DataFrame, known: dict[bytes, int], near: tuple, classes: int, tails: int):
+    """The table (class, class of the next word) of counts over all texts; each task sends its sums, of fixed size."""
+    import numpy as np
+    import pandas as pd
+
+    k = classes + tails
+    shared = docs.sparkSession.sparkContext.broadcast((known, near))
+
+    def run(batches: Iterator) -> Iterator:
+        of = Own(*shared.value, classes, tails)
+        start, out = of[END], np.zeros(k * k, np.int64)
+        for b in batches:
+            for at in range(0, len(b), 500):
+                words = [tokens(t) for t in b["text"].iloc[at : at + 500]]
+                s = np.fromiter(map(of.__getitem__, (w for x in words for w in x)), np.int64)
+                before = np.concatenate(([start], s[:-1]))
+                before[np.cumsum([0, *map(len, words[:-1])])] = start  # each text's first word
+                out += np.bincount(before * k + s, minlength=k * k)
+        code = np.nonzero(out)[0]
+        yield pd.DataFrame({"code": code, "n": out[code]})
+
+    got = docs.select("text").mapInPandas(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()  # k^2 rows at most
+    table = np.zeros(k * k)
+    table[got["code"].to_numpy()] = got["n"].to_numpy()
+    return table.reshape(k, k)
+
+
 def batch_exchange(rows: DataFrame, table, classes: int) -> DataFrame:
     """rows with each word's best class against the table (context, class) of counts, in which it is counted already;
     null: its tail class, column classes + t, is as good as any other."""
@@ -456,10 +529,13 @@ class Model:
     mass: object  # the denominators of the classes' emissions, the tail classes' last
     classes: int
     tails: int
+    near: tuple | None = None  # clustered() beside the head: every word's context is its own class
+
 
+def train(docs: DataFrame, classes: int = CLASSES, core: int = CORE, tails: int = TAILS, head: int = HEAD, floor: int = FLOOR, batch_rounds: int = BATCH_ROUNDS, class_context: bool = False) -> Model:
+    """Learns from every text of docs; null counts as empty. An empty table gives a model without words.
 
-def train(docs: DataFrame, classes: int = CLASSES, core: int = CORE, tails: int = TAILS, head: int = HEAD, floor: int = FLOOR, batch_rounds: int = BATCH_ROUNDS) -> Model:
-    """Learns from every text of docs; null counts as empty. An empty table gives a model without words."""
+    class_context: class bigrams are of every word's own class, else contexts outside the core are tail classes."""
     import numpy as np
 
     counts = materialise(count_words(docs))
@@ -494,8 +570,7 @@ def train(docs: DataFrame, classes: int = CLASSES, core: int = CORE, tails: int
             break
         rows, last, table = moved, rows, new
         free(last)
-    share = (table.sum(axis=0) + ADD) / (table.sum() + ADD * k)
-    moves = np.log10((table + PULL * share) / (table.sum(axis=1, keepdims=True) + PULL))
+    near = clustered(rows) if class_context else None
     own = in_core(docs.sparkSession, first, of)
     picked = rows.where(F.col("class").isNotNull()).select("h", F.col("class").alias("far")).dropDuplicates(["h"])
     words = counts.withColumn("h", F.when(F.col("c") >= floor, F.xxhash64("word"))).join(picked, "h", "left").join(own, "word", "left")
@@ -510,8 +585,15 @@ def train(docs: DataFrame, classes: int = CLASSES, core: int = CORE, tails: int
         emitted[r["class"]] = r["c"]
     top = top_words(words, head).toArrow()
     top = (top["word"].to_pylist(), top["c"].to_numpy(), top["class"].fill_null(-1).to_numpy())
+    if class_context:
+        known = {w: classes + tail_class(w, tails) if c < 0 else c for w, c in zip(top[0], top[2].tolist())}
+        known |= {w: int(of[i]) for i, w in enumerate(first)}
+        near = beside(near, top[0])
+        table = class_pairs(docs, known, near, classes, tails)
+    share = (table.sum(axis=0) + ADD) / (table.sum() + ADD * k)
+    moves = np.log10((table + PULL * share) / (table.sum(axis=1, keepdims=True) + PULL))
     give_back()
-    return Model(words, top, n, v, of, first, moves, np.concatenate((emitted, mass + ADD * (types + 1))), classes, tails)
+    return Model(words, top, n, v, of, first, moves, np.concatenate((emitted, mass + ADD * (types + 1))), classes, tails, near)
 
 
 def in_core(spark: SparkSession, core: list[bytes], of=None) -> DataFrame:
@@ -544,7 +626,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     keep = [f for f in docs.schema.fields if f.name not in {*names, "text"}]
     docs = docs.select(*(f.name for f in keep), "text")
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((*model.head, model.core))  # of fixed size
+    shared = spark.sparkContext.broadcast((*model.head, model.core, model.near))  # of fixed size, but for near
     moves, mass, classes, tails = model.moves, model.mass, model.classes, model.tails
     context = np.asarray(model.context, np.int64)
     lower = model.n + ADD * (model.v + 1)
@@ -555,12 +637,14 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
         cache = worker_cache("brown")
         if cache.get("key") != key:
-            words, counts, cls, core = shared.value
+            words, counts, cls, core, near = shared.value
             tail = np.array([tail_class(w, tails) for w in words], np.int64)
             in_tail = cls < 0
             cls = np.where(in_tail, classes + tail, cls)
             of_core = {w: int(context[i]) for i, w in enumerate(core)}
-            ctx = np.array([of_core.get(w, classes + t) for w, t in zip(words, tail.tolist())], np.int64)
+            ctx = cls if near is not None else np.array([of_core.get(w, classes + t) for w, t in zip(words, tail.tolist())], np.int64)
+            none = np.zeros(0, np.int64), np.zeros(0, np.int16)
+            of_core = Own(of_core, none if near is None else near, classes, tails)
             c = counts.astype(np.float64)
             cache.clear()
             cache |= {
@@ -569,7 +653,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             }
         get, cls, ctx, of_core, base, emit = cache["index"].__getitem__, cache["class"], cache["context"], cache["core"], cache["base"], cache["emit"]
         row = TaskContext.get().partitionId() << 33
-        start = of_core.get(END, classes + tail_class(END, tails))
+        start = of_core[END]
         for b in batches:
             for at in range(0, b.num_rows, 500):
                 part = b.slice(at, 500)
@@ -583,7 +667,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 rare = [words[j] for j in lost.tolist()]
                 x = np.empty(len(i), np.int64)
                 x[known] = ctx[own]
-                x[lost] = [of_core[w] if w in of_core else classes + tail_class(w, tails) for w in rare]
+                x[lost] = [of_core[w] for w in rare]
                 x = np.concatenate(([start], x[:-1]))
                 x[begin] = start  # each text's first word
                 found = np.zeros((2, len(i)))

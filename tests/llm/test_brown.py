@@ -98,3 +98,41 @@ def test_empty(spark):
 def test_shipped_model():
     """Quality was given up for memory once; the README's perplexity is of this setting."""
     assert brown.CORE >= 2048 and brown.ROUNDS >= 8 and brown.FLOOR <= 100 and brown.BATCH_ROUNDS >= 3
+
+
+@pytest.mark.parametrize("head", [200_000, 25])
+def test_class_context(spark, head):
+    """Bigrams are of classes on both sides: a clustered word outside the core is a context by its own class."""
+    rng = np.random.default_rng(2)
+    pick = lambda kind: f"{kind}{rng.integers(0, 4) if rng.random() < 0.8 else rng.integers(4, 30)}"
+    rows = [(i, " ".join(pick("a") + " " + pick("b") for _ in range(40)), "en", "a") for i in range(200)]
+    df = frame(spark, rows)
+    model = brown.train(df, classes=4, core=9, tails=2, head=head, floor=61, class_context=True)
+    k = model.classes
+    cls = {bytes(r["word"]): r["class"] for r in model.words.collect()}
+    symbol = {w: k + brown.tail_class(w, 2) if c is None else c for w, c in cls.items()}
+    seen, table = Counter(), np.zeros((k + 2, k + 2))
+    for r in rows:
+        t = brown.tokens(r[1])
+        seen.update(t)
+        for a, b in zip([brown.END, *t], t):
+            table[symbol[a], symbol[b]] += 1
+    assert any(c is not None for w, c in cls.items() if w not in model.core) and any(c is None for c in cls.values())
+    share = (table.sum(axis=0) + brown.ADD) / (table.sum() + brown.ADD * (k + 2))
+    assert np.allclose(model.moves, np.log10((table + brown.PULL * share) / (table.sum(axis=1, keepdims=True) + brown.PULL)))
+    step = lambda a, b: model.moves[symbol[a], symbol[b]] + math.log10((seen[b] + (0.1 if symbol[b] >= k else 0)) / model.mass[symbol[b]])
+    want = {r[0]: sum(step(a, b) for a, b in zip([brown.END, *brown.tokens(r[1])], brown.tokens(r[1]))) for r in rows}
+    got = {r["doc_id"]: r["score"] for r in brown.score(df, model).collect()}
+    assert all(abs(got[i] - x) < 1e-6 for i, x in want.items())
+    plain = brown.train(df, classes=4, core=9, tails=2, head=head, floor=61)
+    assert sum(got.values()) > sum(r["score"] for r in brown.score(df, plain).collect())
+
+
+def test_op1_uses_class_contexts(spark, tmp_path, monkeypatch):
+    from sparkfed.llm import queries
+
+    frame(spark, odd_documents()).write.parquet(f"{tmp_path}/documents.parquet")
+    seen, train = [], brown.train
+    monkeypatch.setattr(brown, "train", lambda *a, **b: seen.append(m := train(*a, **b)) or m)
+    assert queries.op1_brown_class_ngrams(spark, str(tmp_path)).count() == len(odd_documents())
+    assert seen[0].near is not None
