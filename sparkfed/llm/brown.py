@@ -22,20 +22,21 @@ go to the workers. Transitions are smoothed towards the
 classes' own frequencies; emissions of the tail classes keep room for one unseen word each, so probabilities of all
 words, with one unseen in each tail class, sum to one.
 
-Scoring looks up the HEAD most frequent words, at most, in a table of that fixed size, which every worker holds; a
-text's other words are joined with the distributed counts and classes.
+Texts are read as such twice: for the words' counts, and to be encoded, a number a token. The core and the HEAD most
+frequent words, at most, have numbers of their own, by a table of that fixed size, which every worker holds; the others
+stand beside. Bigrams, contexts and scores come from the numbers; when scored, a text's other words are joined with the
+distributed counts and classes.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_value, free, give_back, materialise, worker_cache
+from .common import by_value, free, give_back, materialise
 
 CLASSES, CORE, TAILS, HEAD = 96, 2048, 64, 100_000
 #: The least training count of a word that is clustered.
@@ -50,7 +51,7 @@ ADD, PULL = 0.1, 5.0
 #: The token that ends a text, and stands before its first word; no word holds a line break.
 END = b"\n"
 #: Columns of intermediate results.
-ROW, REST = "__sparkfed_row", "__sparkfed_rest"
+ROW, REST, CODES, RARE = "__sparkfed_row", "__sparkfed_rest", "__sparkfed_codes", "__sparkfed_rare"
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -87,7 +88,7 @@ def count_words(docs: DataFrame) -> DataFrame:
 
 
 class Symbols(dict):
-    """word -> its number in the core, else the core's size + tail class."""
+    """word -> its place among words, else their number + tail class."""
 
     def __init__(self, words: list[bytes], tails: int):
         super().__init__({w: i for i, w in enumerate(words)})
@@ -100,34 +101,92 @@ class Symbols(dict):
         return s
 
 
-def count_pairs(docs: DataFrame, core: list[bytes], tails: int) -> DataFrame:
-    """(code, n): bigrams of symbols over all texts, code = first * size + second."""
-    import pandas as pd
+def encode(docs: DataFrame, words: list[bytes], tails: int) -> DataFrame:
+    """docs without text, with the numbers of its tokens by Symbols (CODES, 32 bits each), and the tokens that are not of
+    words, with spaces between them (RARE). Null text counts as empty: the end alone."""
+    import numpy as np
+    import pyarrow as pa
+    from pyspark.sql import types as T
 
-    size = len(core) + tails
+    keep = [f for f in docs.schema.fields if f.name not in {"text", CODES, RARE}]
+    shared = docs.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator) -> Iterator:
-        import numpy as np
+        of = Symbols(shared.value, tails)
+        for b in batches:
+            for at in range(0, b.num_rows, 500):
+                part = b.slice(at, 500)
+                texts = [tokens(t) for t in part.column("text").to_pylist()]
+                flat = [w for x in texts for w in x]
+                s = np.fromiter(map(of.__getitem__, flat), np.int32, len(flat))
+                cuts = np.cumsum([0, *map(len, texts)])
+                lost = np.nonzero(s >= of.base)[0]
+                of_text = np.searchsorted(lost, cuts).tolist()
+                lost = [flat[i] for i in lost.tolist()]
+                codes = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer((cuts * 4).astype(np.int32)), pa.py_buffer(s)])
+                rare = pa.array([b" ".join(lost[i:j]) for i, j in zip(of_text, of_text[1:])], pa.binary())
+                rest = part.drop_columns(["text"])
+                yield pa.RecordBatch.from_arrays([*rest.columns, codes, rare], names=[*rest.schema.names, CODES, RARE])
+
+    new = [T.StructField(CODES, T.BinaryType()), T.StructField(RARE, T.BinaryType())]
+    return docs.select(*(f.name for f in keep), "text").mapInArrow(run, T.StructType([*keep, *new]))
+
+
+def slices(batches: Iterator) -> Iterator:
+    """(rows, their tokens' numbers, where each row's begin) of encode()'s rows, some hundred at a time."""
+    import numpy as np
+    import pyarrow as pa
+
+    for b in batches:
+        for at in range(0, b.num_rows, 500):
+            part = b.slice(at, 500)
+            codes = part.column(CODES).cast(pa.binary())
+            cuts = np.frombuffer(codes.buffers()[1], np.int32)[codes.offset : codes.offset + len(codes) + 1]
+            s = np.frombuffer(codes.buffers()[2], np.uint8)[cuts[0] : cuts[-1]].view(np.int32)
+            yield part, s, (cuts[:-1] - cuts[0]) // 4
 
-        of = Symbols(core, tails)
-        start = of[END]
+
+def rare_words(part) -> list[bytes]:
+    return [w for t in part.column(RARE).to_pylist() if t for w in t.split(b" ")]
+
+
+def previous(s, begin, start: int):
+    """The token before each; start before a text's first."""
+    import numpy as np
+
+    out = np.empty_like(s)
+    out[1:] = s[:-1]
+    out[begin] = start
+    return out
+
+
+def count_pairs(coded: DataFrame, words: list[bytes], tail, core: int, tails: int) -> DataFrame:
+    """(code, n): bigrams of symbols over all texts, code = first * size + second; symbols are the first `core` words and
+    the tail classes. tail: of each word."""
+    import numpy as np
+    import pyarrow as pa
+
+    size = core + tails
+    symbol = np.concatenate((np.arange(core), core + tail[core:], core + np.arange(tails)))
+    start = int(symbol[Symbols(words, tails)[END]])
+
+    def run(batches: Iterator) -> Iterator:
         codes, held, out = [], 0, np.zeros(size * size, np.int64)  # 36 MB, whatever the texts
-        for b in batches:
-            for t in b["text"]:
-                s = np.fromiter(map(of.__getitem__, tokens(t)), np.int64)
-                codes.append(np.concatenate(([start], s[:-1])) * size + s)
-                held += len(s)
-                if held > 2_000_000:
-                    out += np.bincount(np.concatenate(codes), minlength=len(out))
-                    codes, held = [], 0
+        for _, s, begin in slices(batches):
+            s = symbol[s]
+            codes.append(previous(s, begin, start) * size + s)
+            held += len(s)
+            if held > 2_000_000:
+                out += np.bincount(np.concatenate(codes), minlength=len(out))
+                codes, held = [], 0
         if codes:
             out += np.bincount(np.concatenate(codes), minlength=len(out))
         u = np.nonzero(out)[0]
         for at in range(0, len(u), 500_000):
             part = u[at : at + 500_000]
-            yield pd.DataFrame({"code": part, "n": out[part]})
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(out[part])], names=["code", "n"])
 
-    return docs.select("text").mapInPandas(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    return coded.select(CODES).mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
 def exchange(pairs, n_words: int, tails: int, classes: int, rounds: int = ROUNDS):
@@ -203,13 +262,22 @@ def top_words(words: DataFrame, most: int) -> DataFrame:
     return words.where(scale >= low) if low is not None else words.orderBy(F.desc("c"), "word").limit(most)
 
 
-def core_words(words: DataFrame, most: int) -> list[bytes]:
-    """The `most` most frequent words, by count and then bytes; four times as many at most reach the driver."""
+def core_words(words: DataFrame, most: int) -> list[tuple[bytes, int]]:
+    """The `most` most frequent words, by count and then bytes, with their counts; four times as many at most reach the
+    driver."""
     near = top_words(words, 4 * most).select("word", "c").toArrow()
     if near.num_rows < most and words.limit(most + 1).count() > near.num_rows:  # the first bin alone is over the bound
         near = words.select("word", "c").orderBy(F.desc("c"), "word").limit(most).toArrow()
     pairs = sorted(zip((-c for c in near["c"].to_pylist()), near["word"].to_pylist()))
-    return [w for _, w in pairs[:most]]
+    return [(w, -c) for c, w in pairs[:most]]
+
+
+def word_hashes(words: list[bytes]):
+    """Spark's hashes of the words."""
+    import numpy as np
+    from xxhash import xxh64_intdigest
+
+    return np.array([xxh64_intdigest(w, 42) for w in words], np.uint64).view(np.int64)
 
 
 def word_filter(words: DataFrame, floor: int) -> bytes:
@@ -224,29 +292,27 @@ def word_filter(words: DataFrame, floor: int) -> bytes:
 
 
 class Contexts(dict):
-    """word -> its number: of core words their own, of words that pass the filter one from `first` on, else that of
-    the tail class. held: hashes and tails of the words from `first` on."""
+    """word -> its number, from `first` on, if it passes the filter; else -1. held, tail: hashes and tail classes of the
+    words that passed."""
 
-    def __init__(self, core: list[bytes], tails: int, bits: bytes):
-        super().__init__({w: i for i, w in enumerate(core)})
-        self.base, self.tails, self.fixed, self.first = len(core), tails, len(core), len(core) + tails
+    def __init__(self, first: int, tails: int, bits: bytes):
+        super().__init__()
+        self.first, self.tails = first, tails
         self.bits, self.held, self.tail = bits, [], []
 
     def __missing__(self, word: bytes) -> int:
         from xxhash import xxh64_intdigest
 
-        t = tail_class(word, self.tails)
         h = xxh64_intdigest(word, 42)
         bit = h % FILTER
         if self.bits[bit >> 3] >> (bit & 7) & 1:
             s = self[word] = self.first + len(self.held)
             self.held.append(h - (h >> 63 << 64))
-            self.tail.append(t)
+            self.tail.append(tail_class(word, self.tails))
             return s
-        s = self.base + t
-        if len(self) < self.fixed + 300_000:
-            self[word] = s
-        return s
+        if len(self) < 300_000:
+            self[word] = -1
+        return -1
 
     def clear_held(self) -> None:
         for w in [w for w, s in self.items() if s >= self.first]:
@@ -277,19 +343,27 @@ def folded(found):
     return out
 
 
-def count_contexts(docs: DataFrame, core: list[bytes], of, tails: int, bits: bytes, buckets: int) -> DataFrame:
-    """(bucket, blob): entries of the words that pass the filter, by their hashes' bucket; each task adds up its own."""
+def count_contexts(coded: DataFrame, head: tuple, core: int, of, tails: int, bits: bytes, floor: int, buckets: int) -> DataFrame:
+    """(bucket, blob): entries of words over the floor outside the core, by their hashes' bucket; each task adds up its
+    own. head: words, counts and tail classes; of its words those over the floor are counted, of all others those that
+    pass the filter."""
     import numpy as np
-    import pandas as pd
+    import pyarrow as pa
 
-    shared = docs.sparkSession.sparkContext.broadcast((core, bits))
-    width = int(of.max()) + 1 if len(of) else 1
+    words, counts, tail = head
+    far = np.nonzero(counts[core:] >= floor)[0] + core
+    number = np.full(len(words) + tails, -1)
+    number[far] = np.arange(len(far))
     of = np.asarray(of, np.int64)
+    context = of[np.concatenate((np.arange(core), core + tail[core:], core + np.arange(tails)))]
+    start = int(context[Symbols(words, tails)[END]])
+    width = int(of.max()) + 1 if len(of) else 1
+    shared = coded.sparkSession.sparkContext.broadcast((number, context, word_hashes([words[i] for i in far.tolist()]), tail[far], bits))
+    first, base, any_rare = len(far), len(words), any(bits)
 
     def run(batches: Iterator) -> Iterator:
-        number = Contexts(shared.value[0], tails, shared.value[1])
-        start = number[END]
-        start = start if start < number.first else number.base + number.tail[start - number.first]
+        number, context, far_hash, far_tail, bits = shared.value
+        rare = Contexts(first, tails, bits)
         keys, held, known, counts = [], 0, np.zeros(0, np.int64), np.zeros(0, np.int64)
 
         def fold() -> None:
@@ -304,35 +378,34 @@ def count_contexts(docs: DataFrame, core: list[bytes], of, tails: int, bits: byt
             fold()
             w = known // width
             out = np.empty(len(known), ENTRY)
-            out["h"], out["t"] = np.array(number.held, np.int64)[w], np.array(number.tail, np.int32)[w]
+            out["h"] = np.concatenate((far_hash, np.array(rare.held, np.int64)))[w]
+            out["t"] = np.concatenate((far_tail, np.array(rare.tail, np.int64)))[w]
             out["p"], out["n"] = known % width, counts
             to = out["h"] % buckets
             order = np.argsort(to, kind="stable")
             cuts = np.append(np.nonzero(np.diff(to[order], prepend=-1))[0], len(order))
             for at in range(0, len(cuts) - 1, 64):
                 part = list(zip(cuts[at : at + 64], cuts[at + 1 : at + 65]))
-                yield pd.DataFrame({"bucket": [int(to[order[i]]) for i, _ in part], "blob": [out[order[i:j]].tobytes() for i, j in part]})
+                blobs = pa.array([out[order[i:j]].tobytes() for i, j in part], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([int(to[order[i]]) for i, _ in part], pa.int64()), blobs], names=["bucket", "blob"])
             known, counts = known[:0], counts[:0]
-            number.clear_held()
-
-        for b in batches:
-            for at in range(0, len(b), 500):
-                words = [tokens(t) for t in b["text"].iloc[at : at + 500]]
-                s = np.fromiter(map(number.__getitem__, (w for x in words for w in x)), np.int64)
-                far = np.nonzero(s >= number.first)[0]
-                ctx = s.copy()
-                ctx[far] = number.base + np.array(number.tail, np.int64)[s[far] - number.first]
-                before = np.concatenate(([start], ctx[:-1]))
-                before[np.cumsum([0, *map(len, words[:-1])])] = start  # each text's first word
-                keys.append((s[far] - number.first) * width + of[before[far]])
-                held += len(far)
-                if held > 1_000_000:
-                    fold()
-                    if len(known) > 4_000_000 or len(number.held) > 400_000:
-                        yield from emit()
+            rare.clear_held()
+
+        for part, s, begin in slices(batches):
+            w = number[s]
+            if any_rare:
+                lost = np.nonzero(s >= base)[0]
+                w[lost] = np.fromiter(map(rare.__getitem__, rare_words(part)), np.int64, len(lost))
+            at = np.nonzero(w >= 0)[0]
+            keys.append(w[at] * width + previous(context[s], begin, start)[at])
+            held += len(at)
+            if held > 1_000_000:
+                fold()
+                if len(known) > 4_000_000 or len(rare.held) > 400_000:
+                    yield from emit()
         yield from emit()
 
-    return docs.select("text").mapInPandas(run, "bucket long, blob binary")
+    return coded.select(CODES, *([RARE] if any_rare else [])).mapInArrow(run, "bucket long, blob binary")
 
 
 def merge_contexts(found: DataFrame, floor: int) -> DataFrame:
@@ -369,11 +442,11 @@ def merge_contexts(found: DataFrame, floor: int) -> DataFrame:
 
 
 class Own(dict):
-    """word -> its own class: of known words and clustered ones theirs, else the tail class."""
+    """word -> its own class: of clustered words theirs, else the tail class."""
 
-    def __init__(self, known: dict[bytes, int], near: tuple, classes: int, tails: int):
-        super().__init__(known)
-        self.hashes, self.found, self.classes, self.tails, self.fixed = *near, classes, tails, len(known)
+    def __init__(self, near: tuple, classes: int, tails: int):
+        super().__init__()
+        self.hashes, self.found, self.classes, self.tails = *near, classes, tails
 
     def __missing__(self, word: bytes) -> int:
         from xxhash import xxh64_intdigest
@@ -385,7 +458,7 @@ class Own(dict):
             i = int(self.hashes.searchsorted(h))
             if i < len(self.hashes) and self.hashes[i] == h:
                 s = int(self.found[i])
-        if len(self) < self.fixed + 300_000:
+        if len(self) < 300_000:
             self[word] = s
         return s
 
@@ -403,34 +476,34 @@ def clustered(rows: DataFrame) -> tuple:
 def beside(near: tuple, words: list[bytes]) -> tuple:
     """near without the given words."""
     import numpy as np
-    from xxhash import xxh64_intdigest
 
-    left = ~np.isin(near[0], np.array([xxh64_intdigest(w, 42) for w in words], np.uint64).view(np.int64))
+    left = ~np.isin(near[0], word_hashes(words))
     return near[0][left], near[1][left]
 
 
-def class_pairs(docs: DataFrame, known: dict[bytes, int], near: tuple, classes: int, tails: int):
-    """The table (class, class of the next word) of counts over all texts; each task sends its sums, of fixed size."""
+def class_pairs(coded: DataFrame, words: list[bytes], cls, near: tuple, classes: int, tails: int):
+    """The table (class, class of the next word) of counts over all texts; each task sends its sums, of fixed size.
+    cls: the classes of encode()'s numbers."""
     import numpy as np
-    import pandas as pd
+    import pyarrow as pa
 
     k = classes + tails
-    shared = docs.sparkSession.sparkContext.broadcast((known, near))
+    start, base, any_rare = int(cls[Symbols(words, tails)[END]]), len(words), len(near[0]) > 0
+    shared = coded.sparkSession.sparkContext.broadcast((cls, near))
 
     def run(batches: Iterator) -> Iterator:
-        of = Own(*shared.value, classes, tails)
-        start, out = of[END], np.zeros(k * k, np.int64)
-        for b in batches:
-            for at in range(0, len(b), 500):
-                words = [tokens(t) for t in b["text"].iloc[at : at + 500]]
-                s = np.fromiter(map(of.__getitem__, (w for x in words for w in x)), np.int64)
-                before = np.concatenate(([start], s[:-1]))
-                before[np.cumsum([0, *map(len, words[:-1])])] = start  # each text's first word
-                out += np.bincount(before * k + s, minlength=k * k)
+        cls, near = shared.value
+        of, out = Own(near, classes, tails), np.zeros(k * k, np.int64)
+        for part, numbers, begin in slices(batches):
+            s = cls[numbers]
+            if any_rare:
+                lost = np.nonzero(numbers >= base)[0]
+                s[lost] = np.fromiter(map(of.__getitem__, rare_words(part)), np.int64, len(lost))
+            out += np.bincount(previous(s, begin, start) * k + s, minlength=k * k)
         code = np.nonzero(out)[0]
-        yield pd.DataFrame({"code": code, "n": out[code]})
+        yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(out[code])], names=["code", "n"])
 
-    got = docs.select("text").mapInPandas(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()  # k^2 rows at most
+    got = coded.select(CODES, *([RARE] if any_rare else [])).mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()  # k^2 rows at most
     table = np.zeros(k * k)
     table[got["code"].to_numpy()] = got["n"].to_numpy()
     return table.reshape(k, k)
@@ -520,7 +593,7 @@ class Model:
     """words (word, c, class) of all training words, distributed, class null for a tail class; the rest is of fixed size."""
 
     words: DataFrame
-    head: tuple[list[bytes], object, object]  # words, counts and classes (-1: tail) of the most frequent
+    head: tuple[list[bytes], object, object]  # words, counts and classes (-1: tail) of the core and the most frequent
     n: int
     v: int
     context: object  # of core words and tails: the row of moves
@@ -530,21 +603,32 @@ class Model:
     classes: int
     tails: int
     near: tuple | None = None  # clustered() beside the head: every word's context is its own class
+    coded: DataFrame | None = None  # train()'s docs as encode() leaves them, where learn is given
 
 
-def train(docs: DataFrame, classes: int = CLASSES, core: int = CORE, tails: int = TAILS, head: int = HEAD, floor: int = FLOOR, batch_rounds: int = BATCH_ROUNDS, class_context: bool = False) -> Model:
+def train(
+    docs: DataFrame, classes: int = CLASSES, core: int = CORE, tails: int = TAILS, head: int = HEAD, floor: int = FLOOR, batch_rounds: int = BATCH_ROUNDS, class_context: bool = False, learn: str | None = None
+) -> Model:
     """Learns from every text of docs; null counts as empty. An empty table gives a model without words.
 
-    class_context: class bigrams are of every word's own class, else contexts outside the core are tail classes."""
+    class_context: class bigrams are of every word's own class, else contexts outside the core are tail classes.
+    learn: a condition; only rows that meet it are learnt from, and all are encoded, to be scored as model.coded."""
     import numpy as np
 
-    counts = materialise(count_words(docs))
+    met = (lambda x: x) if learn is None else (lambda x: x.where(learn))
+    counts = materialise(count_words(met(docs)))
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    first = core_words(counts, core)
+    table_of = dict(core_words(counts, core))
+    first = list(table_of)
     m, size = len(first), len(first) + tails
+    top = top_words(counts, head).select("word", "c").toArrow()
+    table_of |= dict(zip(top["word"].to_pylist(), top["c"].to_pylist()))  # the core's places come first
+    top, top_c = list(table_of), np.array(list(table_of.values()), np.int64)
+    top_tail = np.array([tail_class(w, tails) for w in top], np.int64)
+    coded = materialise(encode(docs, top, tails))
     classes = max(1, min(classes, m))
     pairs = np.zeros((size, size))
-    found = materialise(count_pairs(docs, first, tails))  # at most size^2 rows
+    found = materialise(count_pairs(met(coded), top, top_tail, m, tails))  # at most size^2 rows
     for part in range(8):
         got = found.where(F.pmod("code", F.lit(8)) == part).toArrow()
         pairs.ravel()[got["code"].to_numpy()] = got["n"].to_numpy()
@@ -558,8 +642,8 @@ def train(docs: DataFrame, classes: int = CLASSES, core: int = CORE, tails: int
     core_table = one.T @ pairs @ one
     del pairs, one
     table = core_table
-    far = word_filter(counts.join(in_core(docs.sparkSession, first), "word", "left_anti"), floor)
-    far = materialise(count_contexts(docs, first, of, tails, far, max(1, n // BUCKET)))
+    far = word_filter(counts.where(F.col("c") >= floor).join(in_core(docs.sparkSession, top), "word", "left_anti"), floor)
+    far = materialise(count_contexts(met(coded), (top, top_c, top_tail), m, of, tails, far, floor, max(1, n // BUCKET)))
     rows = materialise(merge_contexts(far, floor))
     free(far)
     for _ in range(batch_rounds):
@@ -583,37 +667,33 @@ def train(docs: DataFrame, classes: int = CLASSES, core: int = CORE, tails: int
     emitted = np.zeros(classes)
     for r in words.where("class is not null").groupBy("class").agg(F.sum("c").alias("c")).collect():  # `classes` rows
         emitted[r["class"]] = r["c"]
-    top = top_words(words, head).toArrow()
-    top = (top["word"].to_pylist(), top["c"].to_numpy(), top["class"].fill_null(-1).to_numpy())
+    got = words.where("class is not null").join(in_core(docs.sparkSession, top), "word", "left_semi").select("word", "class").toArrow()
+    found = dict(zip(got["word"].to_pylist(), got["class"].to_pylist()))
+    top_class = np.array([found.get(w, -1) for w in top], np.int64)
     if class_context:
-        known = {w: classes + tail_class(w, tails) if c < 0 else c for w, c in zip(top[0], top[2].tolist())}
-        known |= {w: int(of[i]) for i, w in enumerate(first)}
-        near = beside(near, top[0])
-        table = class_pairs(docs, known, near, classes, tails)
+        near = beside(near, top)
+        numbers = np.concatenate((np.where(top_class < 0, classes + top_tail, top_class), classes + np.arange(tails)))
+        table = class_pairs(met(coded), top, numbers, near, classes, tails)
     share = (table.sum(axis=0) + ADD) / (table.sum() + ADD * k)
     moves = np.log10((table + PULL * share) / (table.sum(axis=1, keepdims=True) + PULL))
+    if learn is None:
+        free(coded)
     give_back()
-    return Model(words, top, n, v, of, first, moves, np.concatenate((emitted, mass + ADD * (types + 1))), classes, tails, near)
+    mass = np.concatenate((emitted, mass + ADD * (types + 1)))
+    return Model(words, (top, top_c, top_class), n, v, of, first, moves, mass, classes, tails, near, None if learn is None else coded)
 
 
 def in_core(spark: SparkSession, core: list[bytes], of=None) -> DataFrame:
-    """(word, near): the core's words, a table of fixed size, with their classes."""
+    """(word, near): the given words, a table of fixed size, with the core's classes."""
     import pandas as pd
 
     near = [int(x) for x in of[: len(core)]] if of is not None else [0] * len(core)
     return F.broadcast(spark.createDataFrame(pd.DataFrame({"word": core, "near": near}), "word binary, near int"))
 
 
-class Index(dict):
-    """word -> its place; -1 for others."""
-
-    def __missing__(self, word: bytes) -> int:
-        return -1
-
-
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """docs (without text) with n_tokens, n_known, base_score and score: log10 probabilities of the whole text by the
-    words' smoothed frequencies and by the model.
+    words' smoothed frequencies and by the model. docs may also be model.coded.
 
     Null text counts as empty: the end alone. Each row is scored for itself, so repeated rows and ties change nothing;
     a very long text is held as its words, a few dozen bytes each. Columns named like the results are replaced; an empty
@@ -623,67 +703,55 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     from pyspark.sql import types as T
 
     names = ["n_tokens", "n_known", "base_score", "score"]
-    keep = [f for f in docs.schema.fields if f.name not in {*names, "text"}]
-    docs = docs.select(*(f.name for f in keep), "text")
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((*model.head, model.core, model.near))  # of fixed size, but for near
+    keep = [f for f in docs.schema.fields if f.name not in {*names, "text", CODES, RARE}]
     moves, mass, classes, tails = model.moves, model.mass, model.classes, model.tails
-    context = np.asarray(model.context, np.int64)
+    words, counts, cls = model.head
+    coded = docs if docs is model.coded else encode(docs.select(*(f.name for f in keep), "text"), words, tails)
+    spark = docs.sparkSession
     lower = model.n + ADD * (model.v + 1)
-    key = uuid.uuid4().hex
+    # of encode()'s numbers, the tail classes' last
+    in_tail = cls < 0
+    cls = np.where(in_tail, classes + np.array([tail_class(w, tails) for w in words], np.int64), cls)
+    own = cls if model.near is not None else np.array([classes + tail_class(w, tails) for w in words], np.int64)
+    own = np.concatenate((np.asarray(model.context, np.int64)[: len(model.core)], own[len(model.core) :]))
+    context = np.concatenate((own, classes + np.arange(tails)))
+    c = counts.astype(np.float64)
+    base = np.log10((c + ADD) / lower) if len(c) else c
+    emit = np.log10(np.where(in_tail, c + ADD, c)) - np.log10(mass[cls]) if len(c) else c
+    start, n_head = int(context[Symbols(words, tails)[END]]), len(words)
+    near = (np.zeros(0, np.int64), np.zeros(0, np.int16)) if model.near is None else model.near
+    any_near = len(near[0]) > 0
+    shared = spark.sparkContext.broadcast((context, cls, base, emit, near))  # of fixed size, but for near
 
     def run(batches: Iterator) -> Iterator:
         from pyspark import TaskContext
 
-        cache = worker_cache("brown")
-        if cache.get("key") != key:
-            words, counts, cls, core, near = shared.value
-            tail = np.array([tail_class(w, tails) for w in words], np.int64)
-            in_tail = cls < 0
-            cls = np.where(in_tail, classes + tail, cls)
-            of_core = {w: int(context[i]) for i, w in enumerate(core)}
-            ctx = cls if near is not None else np.array([of_core.get(w, classes + t) for w, t in zip(words, tail.tolist())], np.int64)
-            none = np.zeros(0, np.int64), np.zeros(0, np.int16)
-            of_core = Own(of_core, none if near is None else near, classes, tails)
-            c = counts.astype(np.float64)
-            cache.clear()
-            cache |= {
-                "key": key, "index": Index((w, i) for i, w in enumerate(words)), "class": cls, "context": ctx, "core": of_core,
-                "base": np.log10((c + ADD) / lower), "emit": np.log10(np.where(in_tail, c + ADD, c)) - np.log10(mass[cls]) if len(c) else c,
-            }
-        get, cls, ctx, of_core, base, emit = cache["index"].__getitem__, cache["class"], cache["context"], cache["core"], cache["base"], cache["emit"]
+        context, cls, base, emit, near = shared.value
+        of_rare = Own(near, classes, tails)
         row = TaskContext.get().partitionId() << 33
-        start = of_core[END]
-        for b in batches:
-            for at in range(0, b.num_rows, 500):
-                part = b.slice(at, 500)
-                texts = [tokens(t) for t in part.column("text").to_pylist()]
-                words = [w for x in texts for w in x]
-                sizes = np.array([len(x) for x in texts], np.int64)
-                begin = np.cumsum(sizes) - sizes
-                i = np.fromiter(map(get, words), np.int64, len(words))
-                known = i >= 0
-                own, lost = i[known], np.nonzero(~known)[0]
-                rare = [words[j] for j in lost.tolist()]
-                x = np.empty(len(i), np.int64)
-                x[known] = ctx[own]
-                x[lost] = [of_core[w] for w in rare]
-                x = np.concatenate(([start], x[:-1]))
-                x[begin] = start  # each text's first word
-                found = np.zeros((2, len(i)))
-                found[:, known] = base[own], moves[x[known], cls[own]] + emit[own]
-                found = np.add.reduceat(found, begin, axis=1)
-                n_known = np.add.reduceat(known.astype(np.int64), begin)
-                cuts = pa.array(np.concatenate(([0], np.cumsum(sizes - n_known))).astype(np.int32))
-                lists = [pa.ListArray.from_arrays(cuts, pa.array(rare, pa.binary())), pa.ListArray.from_arrays(cuts, pa.array(x[lost].astype(np.int32)))]
-                new = [pa.array(row + np.arange(part.num_rows)), pa.array(sizes), pa.array(n_known), pa.array(found[0]), pa.array(found[1]), *lists]
-                row += part.num_rows
-                rest = part.drop_columns(["text"])
-                yield pa.RecordBatch.from_arrays([*rest.columns, *new], names=[*rest.schema.names, ROW, *names, REST, REST + "x"])
+        for part, i, begin in slices(batches):
+            sizes = np.diff(begin, append=len(i)).astype(np.int64)
+            known = i < n_head
+            own, lost = i[known], np.nonzero(~known)[0]
+            rare = rare_words(part)
+            x = context[i]
+            if any_near:
+                x[lost] = np.fromiter(map(of_rare.__getitem__, rare), np.int64, len(rare))
+            x = previous(x, begin, start)
+            found = np.zeros((2, len(i)))
+            found[:, known] = base[own], moves[x[known], cls[own]] + emit[own]
+            found = np.add.reduceat(found, begin, axis=1)
+            n_known = np.add.reduceat(known.astype(np.int64), begin)
+            cuts = pa.array(np.concatenate(([0], np.cumsum(sizes - n_known))).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(cuts, pa.array(rare, pa.binary())), pa.ListArray.from_arrays(cuts, pa.array(x[lost].astype(np.int32)))]
+            new = [pa.array(row + np.arange(part.num_rows)), pa.array(sizes), pa.array(n_known), pa.array(found[0]), pa.array(found[1]), *lists]
+            row += part.num_rows
+            rest = part.select([f.name for f in keep])
+            yield pa.RecordBatch.from_arrays([*rest.columns, *new], names=[*rest.schema.names, ROW, *names, REST, REST + "x"])
 
     plain = [T.StructField(ROW, T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()), T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())]
     lists = [T.StructField(REST, T.ArrayType(T.BinaryType())), T.StructField(REST + "x", T.ArrayType(T.IntegerType()))]
-    part = materialise(docs.mapInArrow(run, T.StructType([*keep, *plain, *lists])))
+    part = materialise(coded.mapInArrow(run, T.StructType([*keep, *plain, *lists])))
     lost = part.select(ROW, F.explode(F.arrays_zip(REST, REST + "x")).alias("x")).select(ROW, F.col(f"x.{REST}").alias("word"), F.col(f"x.{REST}x").alias("x"))
     step = spark.createDataFrame([(i * (classes + tails) + j, float(moves[i, j]), float(mass[j])) for i in range(len(moves)) for j in range(classes + tails)], "step long, move double, mass double")
     tail = F.pmod(F.crc32(F.substring("word", -3, 3)), F.lit(tails))

@@ -14,8 +14,8 @@ from .common import table
 def op1_brown_class_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(crc_mod("doc_id", 10) == 0, F.lit(False))
     docs = table(spark, sf_dir, "documents").select("doc_id", held_out.alias("held_out"), "text")
-    model = brown.train(docs.where("not held_out"), class_context=True)
-    found = brown.score(docs, model)
+    model = brown.train(docs, learn="not held_out", class_context=True)
+    found = brown.score(model.coded, model)
     return found.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score")
 
 

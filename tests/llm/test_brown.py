@@ -136,3 +136,36 @@ def test_op1_uses_class_contexts(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(brown, "train", lambda *a, **b: seen.append(m := train(*a, **b)) or m)
     assert queries.op1_brown_class_ngrams(spark, str(tmp_path)).count() == len(odd_documents())
     assert seen[0].near is not None
+
+
+def test_texts_are_read_twice(spark, tmp_path, monkeypatch):
+    """op1 splits texts into tokens to count and to encode them; pairs, contexts, classes and scores come from numbers."""
+    from sparkfed.llm import queries
+
+    rows = [r for r in odd_documents() if r[0] is not None]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    log, plain = str(tmp_path / "calls"), brown.tokens
+
+    def counted(text):
+        with open(log, "ab") as f:
+            f.write(b"x")
+        return plain(text)
+
+    monkeypatch.setattr(brown, "tokens", counted)
+    got = queries.op1_brown_class_ngrams(spark, str(tmp_path)).collect()
+    learnt = sum(not r["held_out"] for r in got)
+    assert len(got) == len(rows) and 0 < learnt < len(rows)
+    with open(log, "rb") as f:
+        assert len(f.read()) == learnt + len(rows)
+
+
+@pytest.mark.parametrize("head,floor", [(200_000, 3), (15, 3), (15, 10**9)])
+def test_coded_docs_score_alike(spark, head, floor):
+    """learn gives the model of the rows that meet it, and the encoded rows the scores of their texts; rare words with and
+    without a class are among them."""
+    df = frame(spark, odd_documents())
+    how = dict(classes=6, core=9, tails=4, head=head, floor=floor, class_context=True)
+    both, apart = brown.train(df, learn="doc_id % 4 <> 0", **how), brown.train(df.where("doc_id % 4 <> 0"), **how)
+    assert np.array_equal(both.moves, apart.moves) and np.array_equal(both.mass, apart.mass) and both.n == apart.n
+    found = [sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], round(r["base_score"], 9), round(r["score"], 9)) for r in x.collect()) for x in (brown.score(both.coded, both), brown.score(df, apart))]
+    assert found[0] == found[1] and len(found[0]) == len(odd_documents())
