@@ -29,61 +29,83 @@ OTHER_SPACE = "\t\x0b\x0c\r"
 PRIME, BASES = 2**31 - 1, (1_000_003, 998_244_353)
 
 
+def plain_text() -> Column:
+    """The text, empty where it is null, in which only spaces separate the words of a line."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    other = [text.contains(c) for c in OTHER_SPACE]
+    return F.when(other[0] | other[1] | other[2] | other[3], F.translate(text, OTHER_SPACE, " " * len(OTHER_SPACE))).otherwise(text)
+
+
+def text_hash() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+
+
 def split_lines(docs: DataFrame) -> DataFrame:
     """(at, line): a row for each line, at (doc_id, line number, hash of the text); only spaces separate words."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    plain = F.when(text.rlike("[\t\x0b-\r]"), F.translate(text, OTHER_SPACE, " " * len(OTHER_SPACE))).otherwise(text)
-    rows = docs.select("doc_id", F.xxhash64(text).alias("th"), F.split(plain, "\n", -1).alias("lines"))
-    rows = rows.select("doc_id", "th", F.posexplode("lines").alias("pos", "line"))
+    rows = docs.select("doc_id", text_hash().alias("th"), F.split(plain_text(), "\n", -1).alias("lines"))  # one hash a text
+    # A split is never empty; _outer says so to Spark, which would else split twice, to leave out empty ones.
+    rows = rows.select("doc_id", "th", F.posexplode_outer("lines").alias("pos", "line"))
     return rows.select(F.struct("doc_id", "pos", "th").alias("at"), "line")
 
 
+def chosen_lines(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(at, line) of split_lines() for the places in chosen (at), once each. Whole texts meet their places, not lines."""
+    places = chosen.groupBy(F.struct("at.doc_id", "at.th").alias("doc")).agg(F.collect_set("at.pos").alias("places"))
+    texts = docs.select(F.struct("doc_id", text_hash().alias("th")).alias("doc"), plain_text().alias("text")).join(places.hint("merge"), "doc")
+    doc = F.col("doc")
+    found = lambda x: F.transform("places", lambda i: F.struct(F.struct(doc["doc_id"], i.alias("pos"), doc["th"]).alias("at"), F.get(x, i).alias("line")))
+    once = F.flatten(F.transform(F.array(F.split("text", "\n", -1)), found))  # the text is split once, not for each place
+    return texts.select(F.explode_outer(once).alias("x")).select("x.at", "x.line").dropDuplicates(["at"])
+
+
 def lines(docs: DataFrame) -> DataFrame:
-    """A row for each line with a word: at, words, n, h (128 bits)."""
-    rows = split_lines(docs).withColumn("words", split_words(F.col("line")))
-    h = F.struct(F.xxhash64("words").alias("a"), F.xxhash64(F.lit(1), "words").alias("b"))
-    return rows.withColumn("n", F.size("words")).where("n > 0").select("at", "words", "n", h.alias("h"))
+    """A row for each line with a word: at, s (its words, a space between them), n, h (128 bits)."""
+    line = F.col("line")
+    s = F.trim(F.when(line.contains("  "), F.regexp_replace(line, " +", " ")).otherwise(line))
+    rows = split_lines(docs).where(F.trim("line") != "").select("at", s.alias("s"))
+    h = F.struct(F.xxhash64("s").alias("a"), F.xxhash64(F.lit(1), "s").alias("b"))
+    return rows.select("at", "s", (F.octet_length("s") - F.octet_length(F.replace("s", F.lit(" "), F.lit(""))) + 1).alias("n"), h.alias("h"))
 
 
 def split_words(line: Column) -> Column:
     return F.array_remove(F.split(line, " ", -1), "")
 
 
-def half_keys(words: Column, n: Column) -> Column:
-    """Keys of which two lines within one edit share one: halves of a length, the line's own or one less."""
+def half_keys(s: Column, n: Column) -> Column:
+    """Keys of which two lines within one edit share one: halves of a length, the line's own or one less. s: the line's n
+    words, a space between them."""
 
     def two(m: Column) -> list[Column]:
         half = (m / 2).cast("int")
-        return [F.xxhash64(F.lit("first"), m, F.slice(words, F.lit(1), half)), F.xxhash64(F.lit("last"), m, F.slice(words, n - (m - half) + 1, m - half))]
+        some = lambda k: F.call_function("substring_index", s, F.lit(" "), k)
+        return [F.xxhash64(F.lit(0), m, some(half)), F.xxhash64(F.lit(1), m, some(half - m))]
 
     return F.array(*two(n), *two(n - 1))
 
 
 def polynomial(words: Column) -> Column:
-    """Prefix hashes and powers of both bases: struct of arrays p0, p1 (n + 1 long) and w0, w1."""
-    one, zero = F.array(F.lit(1).cast("long")), F.array(F.lit(0).cast("long"))
-    start = F.struct(zero.alias("p0"), zero.alias("p1"), one.alias("w0"), one.alias("w1"))
+    """Hashes of the first 0, 1, … n words by both bases, in one long each: the first base's residue from bit 31 on.
+
+    Word j is weighed with the base to the j: without an earlier word, a division by the base moves it one place down."""
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    start = F.struct(F.array().cast("array<long>").alias("before"), zero.alias("p0"), zero.alias("p1"), one.alias("w0"), one.alias("w1"))
+    packed = lambda acc: acc["p0"] * (2**31) + acc["p1"]
 
-    def add(acc: Column, w: Column) -> Column:
-        h = F.xxhash64(w)
+    def add(acc: Column, h: Column) -> Column:
         own = F.pmod(h, F.lit(PRIME)) + 1, F.pmod(F.shiftrightunsigned(h, 32), F.lit(PRIME)) + 1  # of different bits
-        last = lambda name: F.element_at(acc[name], -1)
-        out = []
-        for k, base in enumerate(BASES):
-            out.append(F.array_append(acc[f"p{k}"], (last(f"p{k}") * base + own[k]) % PRIME).alias(f"p{k}"))
-            out.append(F.array_append(acc[f"w{k}"], last(f"w{k}") * base % PRIME).alias(f"w{k}"))
-        return F.struct(out[0], out[2], out[1], out[3])
+        p = [((acc[f"p{k}"] + own[k] * acc[f"w{k}"] % PRIME) % PRIME).alias(f"p{k}") for k in range(2)]
+        w = [(acc[f"w{k}"] * base % PRIME).alias(f"w{k}") for k, base in enumerate(BASES)]
+        return F.struct(F.array_append(acc["before"], packed(acc)).alias("before"), *p, *w)
 
-    return F.aggregate(words, start, add)
+    return F.aggregate(F.transform(words, lambda w: F.xxhash64(w)), start, add, lambda acc: F.array_append(acc["before"], packed(acc)))
 
 
-def variant_key(p: str, n: Column, i: Column) -> Column:
+def variant_key(p: str, i: Column) -> Column:
     """The hash of the line without word i, of 62 bits."""
     parts = []
-    for k in range(2):
-        pre, power = F.col(f"{p}.p{k}"), F.get(F.col(f"{p}.w{k}"), n - 1 - i)
-        without = F.element_at(pre, -1) + F.pmod(F.get(pre, i) - F.get(pre, i + 1), F.lit(PRIME)) * power % PRIME
-        parts.append(F.pmod(without, F.lit(PRIME)))
+    halves = lambda x: (F.shiftright(x, 31), x.bitwiseAND(2**31 - 1))
+    for before, upto, total, base in zip(halves(F.get(p, i)), halves(F.get(p, i + 1)), halves(F.element_at(p, -1)), BASES):
+        parts.append((before + F.pmod(total - upto, F.lit(PRIME)) * pow(base, -1, PRIME) % PRIME) % PRIME)
     return parts[0] * (2**31) + parts[1]
 
 
@@ -94,15 +116,14 @@ def near(found: DataFrame, docs: DataFrame, min_words: int = MIN_WORDS) -> DataF
     wide = found.where(F.col("n") >= min_words)
     shared = wide.select(F.explode(F.array_distinct("keys")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     lively = materialise(wide.select(F.col("first").alias("at"), F.explode("keys").alias("key")).join(shared, "key", "left_semi").select("at").distinct())
-    # Their words, by place: the lines themselves are shuffled, not their words, and split afterwards.
-    text = split_lines(docs).join(lively.hint("merge"), "at", "left_semi").dropDuplicates(["at"])
+    text = chosen_lines(docs, lively)
     text = materialise(text.select("at", split_words(F.col("line")).alias("words")).withColumn("n", F.size("words")))
     free(lively)
     # One row for each word left out, and one, with i = -1, for the line itself; the hashes are computed once.
     i, n = F.col("i"), F.col("n")
     rows = text.select("at", "n", polynomial(F.col("words")).alias("p")).select("at", "n", "p", F.explode(F.sequence(F.lit(-1), n - 1)).alias("i"))
-    own = F.element_at("p.p0", -1) * (2**31) + F.element_at("p.p1", -1)
-    keys = materialise(rows.select("at", F.when(i < 0, n).otherwise(n - 1).alias("m"), "i", F.when(i < 0, own).otherwise(variant_key("p", n, i)).alias("key")))
+    own = F.element_at("p", -1)
+    keys = materialise(rows.select("at", F.when(i < 0, n).otherwise(n - 1).alias("m"), "i", F.when(i < 0, own).otherwise(variant_key("p", i)).alias("key")))
     whole, variants = keys.where("i < 0").select("at", "m", "key"), keys.where("i >= 0")
     same = variants.groupBy("key", "m", "i").agg(F.min("at").alias("low"), F.max("at").alias("high")).where("low <> high").drop("high")
     replaced = variants.join(same, ["key", "m", "i"]).where("at > low").select("at", F.col("low").alias("of"), "key", "m", "i")
@@ -134,7 +155,7 @@ def verified(links: DataFrame, text: DataFrame) -> DataFrame:
 
 def decisions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Distinct lines: first (the earliest place), n, n_places, near (whether an earlier line is one edit away), of."""
-    rows = lines(docs).withColumn("keys", F.when(F.col("n") >= min_words, half_keys(F.col("words"), F.col("n"))))
+    rows = lines(docs).withColumn("keys", F.when(F.col("n") >= min_words, half_keys(F.col("s"), F.col("n"))))
     found = rows.groupBy("h").agg(F.min("at").alias("first"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.count(F.lit(1)).alias("n_places"))
     found = materialise(found)
     gone = near(found, docs, min_words).select(F.col("at").alias("first"), "of")

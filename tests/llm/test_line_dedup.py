@@ -54,3 +54,40 @@ def test_rewrite(spark):
 
 def test_empty(spark):
     assert line_dedup.report(empty(spark)).count() == 0 and line_dedup.rewrite(empty(spark)).count() == 0
+
+
+def test_white_space(spark):
+    """Words are the same whatever stands between them; control characters that are no white space are words' own."""
+    w = [f"w{i}" for i in range(9)]
+    texts = [" ".join(w), "\t" + "  ".join(w) + " \r\n\x0b\x0c\n" + "\t ".join(w[:8]), "   ".join(w[:4] + ["x"] + w[5:]) + "  ", " " + "\x0b".join(w[1:]) + "\n  \n\n", "\x1c".join(w) + "\n" + " ".join([*w[:8], "\x1c"]), "é  é\né é\n é"]
+    rows = [(4000 + i, t, "en", "a") for i, t in enumerate(texts)]
+    for case in (rows, rows + [rows[1], (None, texts[3] + "\nq " + texts[0], None, None)]):
+        got = sorted((str(r["doc_id"]), list(r["kept"])) for r in line_dedup.report(frame(spark, case)).collect())
+        assert got == brute(case)
+
+
+def test_variant_keys_are_hashes_of_the_rest(spark):
+    from pyspark.sql import functions as F
+
+    w = [f"w{i}" for i in range(10)]
+    df = spark.createDataFrame([(i, w, w[:i] + w[i + 1 :]) for i in range(10)], "i int, words array<string>, rest array<string>")
+    df = df.select("i", line_dedup.polynomial(F.col("words")).alias("p"), line_dedup.polynomial(F.col("rest")).alias("q"))
+    got = df.select(line_dedup.variant_key("p", F.col("i")).alias("key"), F.element_at("q", -1).alias("want"), F.size("p").alias("n")).collect()
+    assert all(r["key"] == r["want"] and r["n"] == 11 for r in got) and len({r["key"] for r in got}) == 10
+
+
+def test_texts_are_split_once(spark):
+    """Spark repeats expressions in filters that it infers or moves; a text is split and hashed once, before its lines."""
+    from pyspark.sql import functions as F
+
+    df = frame(spark, odd_documents())
+    rows = line_dedup.lines(df)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("split(") == 1
+    below = plan[plan.index("Generate") :]
+    assert below.count("xxhash64(coalesce(text") == plan.count("xxhash64(coalesce(text") == 1
+    chosen = line_dedup.chosen_lines(df, spark.createDataFrame(rows.select("at").collect(), rows.select("at").schema))
+    assert chosen._jdf.queryExecution().executedPlan().toString().count("split(") == 1
+    want = {(tuple(r["at"]), r["line"]) for r in line_dedup.split_lines(df).where(F.trim("line") != "").collect()}
+    got = [(tuple(r["at"]), r["line"]) for r in chosen.collect()]
+    assert set(got) == want and len(got) == len(want)
