@@ -51,10 +51,10 @@ def split_lines(docs: DataFrame) -> DataFrame:
 def chosen_lines(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """(at, line) of split_lines() for the places in chosen (at), once each. Whole texts meet their places, not lines."""
     places = chosen.groupBy(F.struct("at.doc_id", "at.th").alias("doc")).agg(F.collect_set("at.pos").alias("places"))
-    texts = docs.select(F.struct("doc_id", text_hash().alias("th")).alias("doc"), plain_text().alias("text")).join(places.hint("merge"), "doc")
+    texts = docs.select(F.struct("doc_id", text_hash().alias("th")).alias("doc"), "text").join(places.hint("merge"), "doc")
     doc = F.col("doc")
     found = lambda x: F.transform("places", lambda i: F.struct(F.struct(doc["doc_id"], i.alias("pos"), doc["th"]).alias("at"), F.get(x, i).alias("line")))
-    once = F.flatten(F.transform(F.array(F.split("text", "\n", -1)), found))  # the text is split once, not for each place
+    once = F.flatten(F.transform(F.array(F.split(plain_text(), "\n", -1)), found))  # the text is split once, not for each place
     return texts.select(F.explode_outer(once).alias("x")).select("x.at", "x.line").dropDuplicates(["at"])
 
 
@@ -123,7 +123,11 @@ def near(found: DataFrame, docs: DataFrame, min_words: int = MIN_WORDS) -> DataF
     i, n = F.col("i"), F.col("n")
     rows = text.select("at", "n", polynomial(F.col("words")).alias("p")).select("at", "n", "p", F.explode(F.sequence(F.lit(-1), n - 1)).alias("i"))
     own = F.element_at("p", -1)
-    keys = materialise(rows.select("at", F.when(i < 0, n).otherwise(n - 1).alias("m"), "i", F.when(i < 0, own).otherwise(variant_key("p", i)).alias("key")))
+    every = materialise(rows.select("at", F.when(i < 0, n).otherwise(n - 1).alias("m"), "i", F.when(i < 0, own).otherwise(variant_key("p", i)).alias("key")))
+    # All links are between rows of one key: the others, most of them, are left out before the joins.
+    met = every.groupBy("key", "m").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("key", "m")
+    keys = materialise(every.join(met.hint("merge"), ["key", "m"], "left_semi").select(*every.columns))
+    free(every)
     whole, variants = keys.where("i < 0").select("at", "m", "key"), keys.where("i >= 0")
     same = variants.groupBy("key", "m", "i").agg(F.min("at").alias("low"), F.max("at").alias("high")).where("low <> high").drop("high")
     replaced = variants.join(same, ["key", "m", "i"]).where("at > low").select("at", F.col("low").alias("of"), "key", "m", "i")

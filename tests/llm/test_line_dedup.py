@@ -91,3 +91,20 @@ def test_texts_are_split_once(spark):
     want = {(tuple(r["at"]), r["line"]) for r in line_dedup.split_lines(df).where(F.trim("line") != "").collect()}
     got = [(tuple(r["at"]), r["line"]) for r in chosen.collect()]
     assert set(got) == want and len(got) == len(want)
+
+
+def test_lone_keys_meet_no_join(spark, monkeypatch):
+    """Only rows whose key another row has are written for the joins, and all of those."""
+    rows = odd_documents() + extra()
+    written, real = [], line_dedup.materialise
+    monkeypatch.setattr(line_dedup, "materialise", lambda df: written.append((df.columns, out := real(df))) or out)
+    freed = []
+    monkeypatch.setattr(line_dedup, "free", lambda *found: freed.extend(found))
+    assert line_dedup.report(frame(spark, rows)).count() == len(rows)
+    every, keys = [df for columns, df in written if columns == ["at", "m", "i", "key"]]
+    a, b = ([(r["key"], r["m"], tuple(r["at"]), r["i"]) for r in df.collect()] for df in (every, keys))
+    n = {}
+    for key, m, *_ in a:
+        n[key, m] = n.get((key, m), 0) + 1
+    assert sorted(b, key=str) == sorted((x for x in a if n[x[:2]] > 1), key=str) and 0 < len(b) < len(a)
+    assert every in freed and keys in freed
